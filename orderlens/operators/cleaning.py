@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens import schemas
 from orderlens.plans import feature_view as fv
-from orderlens.sources.star_schema import Relations
+from orderlens.schemas import Relations
 
 CARRIED = ["order_id", *schemas.FEATURE_COLUMNS]
 # Later rows win; nulls count as earliest.  Rows equal in all of these are equal in every feature.

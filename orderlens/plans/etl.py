@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.schemas import Relations
 from orderlens.sources.csv_files import DATASETS, scan_dataset
-from orderlens.sources.star_schema import Relations
 from orderlens.sources.tables import TableStore
 
 STATUS = "position int, table_name string, n_rows bigint, ok boolean, error string"
@@ -26,4 +28,4 @@ def run_etl(spark: SparkSession, folder: str, store: TableStore, enforce: bool =
 
 def stored_relations(store: TableStore) -> Relations:
     """The loaded tables, ready for the feature view."""
-    return Relations(**{table: store.scan(table) for table in DATASETS})
+    return Relations(**{table: partial(store.scan, table) for table in DATASETS})

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from orderlens import schemas
 from orderlens.functions import expressions as E
-from orderlens.sources.star_schema import Relations
+from orderlens.schemas import Relations
 
 VIEW_NAME = "features_view"
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import cleaning, evaluate, models, sampling, selection, transform
 from orderlens.session import materialize
-from orderlens.sources.star_schema import Relations
+from orderlens.schemas import Relations
 
 
 @dataclass

@@ -107,14 +107,18 @@ def _scored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, folder: str) -> DataFrame:
-    """Cleaned orders, written once because splitting and fitting read them several times."""
-    return sampling.stratified_split(materialize(_cleaned(spark, folder), "cleaned"))
+    return sampling.stratified_split(_stored(_cleaned, spark, folder))
 
 
 def _train_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _split(spark, folder).where(F.col("split") == "train").drop("split")
 
 
+def _stored(build: Query, spark: SparkSession, folder: str) -> DataFrame:
+    """The result of a step as a stored table, for profiles that read it more than once."""
+    return materialize(build(spark, folder), "stored")
+
+
 # --- sources and sinks -----------------------------------------------------
 
 
@@ -129,7 +133,7 @@ def _(spark, folder):
 @query("dataset_registry")
 def _(spark, folder):
     """Registered inputs in load order with the rows each holds."""
-    tables = dict(star_schema.relations(spark, folder).items())
+    tables = dict(star_schema.relations(spark, folder, texts=True).items())
     out = None
     for position, (table, dataset) in enumerate(csv_files.DATASETS.items(), start=1):
         row = tables[table].agg(
@@ -145,7 +149,7 @@ def _(spark, folder):
 @query("table_schemas")
 def _(spark, folder):
     """Column types of the six tables with the values each column holds."""
-    tables = dict(star_schema.relations(spark, folder).items())
+    tables = dict(star_schema.relations(spark, folder, texts=True).items())
     out = None
     for table, spec in schemas.TABLES.items():
         counts = tables[table].agg(*[F.count(c).alias(c) for c in spec.columns])
@@ -335,7 +339,7 @@ def _(spark, folder):
 
 @query("describe_numeric")
 def _(spark, folder):
-    return rounded(profile.describe_numeric(_view(spark, folder)), "mean", "std", "p25", "p50", "p75", places=4)
+    return rounded(profile.describe_numeric(_stored(_view, spark, folder)), "mean", "std", "p25", "p50", "p75", places=4)
 
 
 @query("clip_quantiles")
@@ -345,19 +349,19 @@ def _(spark, folder):
 
 @query("tail_score_mix")
 def _(spark, folder):
-    return rounded(profile.tail_score_mix(_cleaned(spark, folder)), "ratio")
+    return rounded(profile.tail_score_mix(_stored(_cleaned, spark, folder)), "ratio")
 
 
 @query("correlation_matrix")
 def _(spark, folder):
-    cleaned = _cleaned(spark, folder)
+    cleaned = _stored(_cleaned, spark, folder)
     clipped = transform.clip_outliers(transform.add_log_columns(cleaned), transform.clip_bounds(cleaned))
     return rounded(profile.correlation_matrix(clipped), "correlation")
 
 
 @query("histogram")
 def _(spark, folder):
-    found = profile.histogram(transform.add_log_columns(_reviewed(spark, folder)))
+    found = profile.histogram(transform.add_log_columns(_stored(_reviewed, spark, folder)))
     return rounded(found, "lower_edge", "upper_edge")
 
 
@@ -414,7 +418,7 @@ def _(spark, folder):
 
 @query("stratified_folds")
 def _(spark, folder):
-    return sampling.stratified_folds(_cleaned(spark, folder)).select("order_id", "bad_score", "fold")
+    return sampling.stratified_folds(_stored(_cleaned, spark, folder)).select("order_id", "bad_score", "fold")
 
 
 @query("limit_rows")
@@ -463,7 +467,7 @@ def _(spark, folder):
 
 @query("clip_outliers")
 def _(spark, folder):
-    cleaned = _cleaned(spark, folder)
+    cleaned = _stored(_cleaned, spark, folder)
     return rounded(
         transform.clip_outliers(cleaned, transform.clip_bounds(cleaned)).select("order_id", *schemas.DAY_COLUMNS),
         *schemas.DAY_COLUMNS,

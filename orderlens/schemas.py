@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 TEXT = T.StringType()
@@ -114,6 +116,32 @@ TABLES: dict[str, TableSpec] = {
     spec.name: spec for spec in (CUSTOMERS, PRODUCTS, ORDERS, REVIEWS, ORDER_ITEMS, CATEGORY_NAMES)
 }
 
+class Relations:
+    """The six relations; each is defined when first asked for."""
+
+    def __init__(self, **builders: DataFrame | Callable[[], DataFrame]):
+        if set(builders) != set(TABLES):
+            raise ValueError(f"expected the tables {list(TABLES)}")
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._built:
+            source = self._builders[table]
+            self._built[table] = source if isinstance(source, DataFrame) else source()
+        return self._built[table]
+
+    customers = property(lambda self: self["customers"])
+    products = property(lambda self: self["products"])
+    orders = property(lambda self: self["orders"])
+    reviews = property(lambda self: self["reviews"])
+    order_items = property(lambda self: self["order_items"])
+    category_names = property(lambda self: self["category_names"])
+
+    def items(self) -> list[tuple[str, DataFrame]]:
+        return [(table, self[table]) for table in TABLES]
+
+
 # Output of the feature view: carried keys first, then the 19 features in order.
 KEY_COLUMNS = ["order_id", "review_id", "review_answer_timestamp"]
 FEATURE_COLUMNS = [

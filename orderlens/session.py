@@ -31,6 +31,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def build_session(app_name: str = "orderlens", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or reuse) a session with the package settings; extra conf keys use '__' for '.'."""
     builder = SparkSession.builder.appName(app_name)
+    # Python call sites of every column expression are only useful for debugging.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**SQL_SETTINGS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():

@@ -7,25 +7,23 @@ operators but say nothing about real customers.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.schemas import Relations
 
-@dataclass(frozen=True)
-class Relations:
-    """The six relations, lazily defined."""
-
-    customers: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    reviews: DataFrame
-    order_items: DataFrame
-    category_names: DataFrame
-
-    def items(self) -> list[tuple[str, DataFrame]]:
-        return [(f.name, getattr(self, f.name)) for f in fields(self)]
+# The columns read from the driver's tables.  Stating them saves a job per
+# table that would only read types.
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double",
+    "documents": "doc_id bigint, text string, lang string, source string",
+}
 
 
 def _after(key: Column, hours: Column | int = 0) -> Column:
@@ -46,7 +44,7 @@ def _estimated_hours(key: Column) -> Column:
 
 
 def _scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
+    return spark.read.schema(COLUMNS[table]).parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,8 +118,11 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _review_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Every 50th order is reviewed twice; some second reviews have no score or the same time."""
+def scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews without their texts.
+
+    Every 50th order is reviewed twice; some second reviews have no score or the same time.
+    """
     key, seq = F.col("o_orderkey"), F.col("seq")
     late = F.coalesce(_delivered_hours(key) > _estimated_hours(key), F.lit(False))
     first = F.when(late, key % 4 + 1).otherwise(5 - F.when(key % 11 == 0, 3).otherwise(key % 2))
@@ -147,7 +148,7 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("\n "), F.col("source"), F.lit("\r"), F.col("lang"), F.lit("\t")).alias("review_comment_title"),
         F.concat(F.lit(" \r\n"), F.col("text"), F.lit("\u00a0\n")).alias("review_comment_message"),
     )
-    rows = _review_rows(spark, folder)
+    rows = scores(spark, folder)
     return rows.join(text, rows.order_id == text.doc_id, "left").select(
         "review_id",
         "order_id",
@@ -159,16 +160,23 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def relations(spark: SparkSession, folder: str) -> Relations:
-    """The six relations as the feature view reads them (category already filled)."""
-    raw = products(spark, folder)
+def relations(spark: SparkSession, folder: str, texts: bool = False) -> Relations:
+    """The six relations as the feature view reads them (category already filled).
+
+    Review texts sit in another driver table; without ``texts`` that join is left out.
+    """
+
+    def filled_products() -> DataFrame:
+        raw = products(spark, folder)
+        return raw.withColumn("product_category_name", F.coalesce("product_category_name", F.lit("unknown")))
+
     return Relations(
-        customers=customers(spark, folder),
-        products=raw.withColumn("product_category_name", F.coalesce("product_category_name", F.lit("unknown"))),
-        orders=orders(spark, folder),
-        reviews=reviews(spark, folder),
-        order_items=order_items(spark, folder),
-        category_names=category_names(spark, folder),
+        customers=lambda: customers(spark, folder),
+        products=filled_products,
+        orders=lambda: orders(spark, folder),
+        reviews=lambda: (reviews if texts else scores)(spark, folder),
+        order_items=lambda: order_items(spark, folder),
+        category_names=lambda: category_names(spark, folder),
     )
 
 
