@@ -7,17 +7,13 @@ from pyspark.sql import functions as F
 
 
 def unpivot(df: DataFrame, columns: list[str], name: str = "column_name", keep: list[str] = ()) -> DataFrame:
-    """One (name, value) row per column, values as double, nulls left out."""
-    entries = [F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias("value")) for c in columns]
-    return (
-        df.select(*keep, F.explode(F.array(*entries)).alias("_e"))
-        .select(*keep, f"_e.{name}", "_e.value")
-        .where(F.col("value").isNotNull())
-    )
+    """One (name, value) row per column, values as double."""
+    doubles = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
+    return doubles.unpivot(list(keep), columns, name, "value")
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float], accuracy: int = 10_000) -> DataFrame:
-    """(column_name, share, value) for every column and share, in one plan.
+    """(column_name, share, value) for every column with values and every share, in one plan.
 
     ``percentile`` would keep every distinct value of a column in one task.  Here a sketch
     with a known rank error first brackets each wanted position; equal values are then
@@ -26,33 +22,20 @@ def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float], accu
     """
     margin = 3.0 / accuracy
     edges = [e for s in shares for e in (max(s - margin, 0.0), min(s + margin, 1.0))]
-    sketch = df.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"),
-                F.percentile_approx(F.col(c).cast("double"), edges, accuracy).alias("edges"),
-            ).alias(c)
-            for c in columns
-        ]
+    values = unpivot(df, columns).where(F.col("value").isNotNull())
+    sketch = values.groupBy("column_name").agg(
+        F.count("value").alias("n"), F.percentile_approx("value", edges, accuracy).alias("edges")
     )
     brackets = sketch.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_name"),
-                        F.lit(s).alias("share"),
-                        F.col(c)["n"].alias("n"),
-                        F.col(c)["edges"][2 * i].alias("low"),
-                        F.col(c)["edges"][2 * i + 1].alias("high"),
-                    )
-                    for c in columns
-                    for i, s in enumerate(shares)
-                ]
-            )
-        )
+        "column_name", "n", "edges", F.posexplode(F.array(*[F.lit(s) for s in shares])).alias("i", "share")
+    ).select(
+        "column_name",
+        "share",
+        "n",
+        F.get("edges", 2 * F.col("i")).alias("low"),
+        F.get("edges", 2 * F.col("i") + 1).alias("high"),
     )
-    counts = unpivot(df, columns).groupBy("column_name", "value").agg(F.count("*").alias("copies"))
+    counts = values.groupBy("column_name", "value").agg(F.count("*").alias("copies"))
     whole = F.col("n") <= accuracy
     # Broadcast bound: one row per column and share.
     placed = counts.join(F.broadcast(brackets), "column_name").where(whole | (F.col("value") <= F.col("high")))

@@ -54,10 +54,12 @@ def impact_by_decile(df: DataFrame, model, features: list[str]) -> DataFrame:
     """
     tenths = [i / 10 for i in range(1, 10)]
     scored = models.predict(df.select(*features), model, features).select(*features, "probability")
-    edges = df.agg(
-        *[F.percentile_approx(F.col(f).cast("double"), tenths, 10_000).alias(f) for f in features]
-    ).select(F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("edges")) for f in features])))
     values = unpivot(scored, features, name="feature", keep=["probability"])
+    edges = (
+        unpivot(df, features, name="feature")
+        .groupBy("feature")
+        .agg(F.percentile_approx("value", tenths, 10_000).alias("edges"))
+    )
     # Broadcast bound: one row per feature.
     placed = values.join(F.broadcast(edges), "feature").withColumn(
         "decile", F.size(F.filter("edges", lambda e: e < F.col("value"))) + 1

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from orderlens.operators import evaluate
 from orderlens.operators.sampling import SEED, stratified_folds
 from orderlens.operators.transform import NotFittedError
-from orderlens.session import ensure_checkpoint_dir
+from orderlens.session import ensure_checkpoint_dir, small_table
 
 LABEL, WEIGHT, FEATURES = "bad_score", "_weight", "_features"
 NOT_FEATURES = ("order_id", "review_score", "bad_score", "split", "fold")
@@ -104,7 +104,7 @@ def predict(df: DataFrame, model, features: list[str]) -> DataFrame:
 def feature_importances(model, features: list[str], spark: SparkSession) -> DataFrame:
     """(feature, importance), least important first; one row per feature."""
     rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy("importance", "feature")
+    return small_table(spark, rows, "feature string, importance double").orderBy("importance", "feature")
 
 
 # ---------------------------------------------------------------------------
@@ -210,7 +210,7 @@ def tune(
     means = [sum(scores[t * n_folds : (t + 1) * n_folds]) / n_folds for t in range(n_trials)]
     best = max(range(n_trials), key=lambda t: (means[t], -t))
     table = [(t, json.dumps(candidates[t], sort_keys=True), f, float(s)) for (t, f), s in zip(jobs, scores)]
-    trials = df.sparkSession.createDataFrame(table, "trial int, params string, fold int, f1 double")
+    trials = small_table(df.sparkSession, table, "trial int, params string, fold int, f1 double")
     return {"best_params": candidates[best], "best_score": means[best], "trials": trials}
 
 
@@ -264,7 +264,7 @@ class RiskModel:
             {"type": self.model_type, "seed": self.seed, "params": self.best_params_,
              "score": self.best_score_, "features": self.features_}
         )
-        spark.createDataFrame([(settings,)], "settings string").write.mode("overwrite").parquet(f"{path}/settings")
+        small_table(spark, [(settings,)], "settings string").write.mode("overwrite").parquet(f"{path}/settings")
 
     @classmethod
     def load(cls, path: str) -> "RiskModel":

@@ -6,6 +6,8 @@ fixed number of rows whatever the input size.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from orderlens import schemas
 from orderlens.functions.quantiles import exact_quantiles, unpivot
 from orderlens.operators import transform
+from orderlens.session import small_table
 
 DESCRIBED = [c for c in schemas.FEATURE_COLUMNS if c not in (*schemas.FLAG_COLUMNS, "category")]
 BOX_COLUMNS = ["delivery_days", "estimated_delivery_diff", "processing_days"]
@@ -55,19 +58,17 @@ def feature_view_grain(view: DataFrame) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: list[str] | None = None, accuracy: int = 10_000) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
     columns = columns or DESCRIBED
-    moments = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count(c).alias("n"),
-                F.avg(F.col(c).cast("double")).alias("mean"),
-                F.stddev_samp(F.col(c).cast("double")).alias("std"),
-                F.min(F.col(c).cast("double")).alias("minimum"),
-                F.max(F.col(c).cast("double")).alias("maximum"),
-            ).alias(c)
-            for c in columns
-        ]
-    ).select(F.inline(F.array(*columns)))
+    moments = (
+        unpivot(df, columns)
+        .groupBy("column_name")
+        .agg(
+            F.count("value").alias("n"),
+            F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"),
+            F.min("value").alias("minimum"),
+            F.max("value").alias("maximum"),
+        )
+    )
     shares = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
     found = exact_quantiles(df, columns, list(shares.values()), accuracy)
     quartiles = found.groupBy("column_name").agg(
@@ -149,25 +150,21 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     vectors = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(numeric)
     matrix = Correlation.corr(vectors.select("features"), "features").first()[0].toArray()
-    rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    plain = df.sparkSession.createDataFrame(rows, "column_a string, column_b string, correlation double")
-    return plain.withColumn("correlation", F.nanvl("correlation", F.lit(None).cast("double")))
+    known = [[None if math.isnan(v) else float(v) for v in line] for line in matrix]
+    rows = [(a, b, known[i][j]) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return small_table(df.sparkSession, rows, "column_a string, column_b string, correlation double")
 
 
 def histogram(df: DataFrame, bins: dict[str, int] | None = None) -> DataFrame:
     """Equal-width bins between minimum and maximum, the last one closed, empty ones included."""
     bins = bins or HISTOGRAMS
-    ranges = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.lit(n).alias("bins"),
-                F.min(F.col(c).cast("double")).alias("low"),
-                F.max(F.col(c).cast("double")).alias("high"),
-            ).alias(c)
-            for c, n in bins.items()
-        ]
-    ).select(F.inline(F.array(*bins)))
+    values = unpivot(df, list(bins)).where(F.col("value").isNotNull())
+    wanted = F.create_map(*[F.lit(x) for pair in bins.items() for x in pair])
+    ranges = (
+        values.groupBy("column_name")
+        .agg(F.min("value").alias("low"), F.max("value").alias("high"))
+        .withColumn("bins", wanted[F.col("column_name")])
+    )
     flat = F.col("low") == F.col("high")
     ranges = ranges.select(
         "column_name",
@@ -178,8 +175,7 @@ def histogram(df: DataFrame, bins: dict[str, int] | None = None) -> DataFrame:
     place = F.least(F.floor((F.col("value") - F.col("low")) / F.col("width")) + 1, F.col("bins")).cast("int")
     # Broadcast bound: one row per histogram column.
     counts = (
-        unpivot(df, list(bins))
-        .join(F.broadcast(ranges), "column_name")
+        values.join(F.broadcast(ranges), "column_name")
         .groupBy("column_name", place.alias("bin"))
         .agg(F.count("*").alias("n"))
     )
@@ -201,7 +197,8 @@ def box_stats(df: DataFrame, columns: list[str] | None = None, by: str = "review
     """
     columns = columns or BOX_COLUMNS
     keys = ["column_name", by]
-    counts = unpivot(df, columns, keep=[by]).groupBy(*keys, "value").agg(F.count("*").alias("copies"))
+    values = unpivot(df, columns, keep=[by]).where(F.col("value").isNotNull())
+    counts = values.groupBy(*keys, "value").agg(F.count("*").alias("copies"))
     quartiles = counts.groupBy(*keys).agg(F.percentile("value", [0.25, 0.5, 0.75], F.col("copies")).alias("q"))
     reach = 1.5 * (F.col("q")[2] - F.col("q")[0])
     within = F.col("value").between(F.col("q")[0] - reach, F.col("q")[2] + reach)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from orderlens.operators import models
 from orderlens.operators.sampling import SEED, stratified_folds
+from orderlens.session import small_table
 
 
 class Selector:
@@ -57,7 +58,7 @@ class Selector:
             rows.unpersist()
         self.features_to_keep_ = kept
         self.support_ = {f: f in kept for f in features}
-        self.cv_results = df.sparkSession.createDataFrame(scores, "n_features int, fold int, f1 double")
+        self.cv_results = small_table(df.sparkSession, scores, "n_features int, fold int, f1 double")
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from orderlens.functions.expressions import clamp
-from orderlens.session import ensure_checkpoint_dir
+from orderlens.session import ensure_checkpoint_dir, small_table
 
 # Bound name -> column and quantile.
 BOUNDS = {
@@ -158,7 +158,7 @@ def _settle(encoding: DataFrame) -> tuple[DataFrame, float | None]:
     head = encoding.limit(SMALL_ENCODING + 1).collect()
     prior = head[0]["prior"] if head else None
     if len(head) <= SMALL_ENCODING:
-        return spark.createDataFrame(head, encoding.schema), prior
+        return small_table(spark, head, encoding.schema), prior
     ensure_checkpoint_dir(spark)
     return encoding.checkpoint(), prior
 

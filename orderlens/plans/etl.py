@@ -7,6 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.schemas import Relations
+from orderlens.session import small_table
 from orderlens.sources.csv_files import DATASETS, scan_dataset
 from orderlens.sources.tables import TableStore
 
@@ -23,7 +24,7 @@ def run_etl(spark: SparkSession, folder: str, store: TableStore, enforce: bool =
         except Exception as error:  # any failure ends the run and is reported with its table
             status.append((position, table, None, False, str(error).splitlines()[0][:500]))
             break
-    return spark.createDataFrame(status, STATUS)
+    return small_table(spark, status, STATUS)
 
 
 def stored_relations(store: TableStore) -> Relations:

@@ -27,7 +27,7 @@ from orderlens.operators import (
 )
 from orderlens.plans import etl, training
 from orderlens.plans import feature_view as fv
-from orderlens.session import configure, materialize, scratch_path
+from orderlens.session import configure, materialize, scratch_path, small_table
 from orderlens.sources import csv_files, star_schema
 from orderlens.sources.tables import TableStore
 
@@ -564,7 +564,7 @@ def _(spark, folder):
     """One trial per value of num_items in the cleaned orders: drawn parameters with its rows."""
     sizes = _cleaned(spark, folder).groupBy("num_items").agg(F.count("*").alias("n_rows"))
     drawn = [(i, str(p)) for i, p in enumerate(models.search_space("xgb", 16))]
-    return sizes.join(spark.createDataFrame(drawn, "num_items int, params string"), "num_items")
+    return sizes.join(small_table(spark, drawn, "num_items int, params string"), "num_items")
 
 
 def _tune(name: str, model_type: str) -> None:

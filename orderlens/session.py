@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Runtime SQL settings every plan in this package is written for.  A skewed join is
 # split even when that costs one more exchange: a hot order or product would
@@ -81,3 +85,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, rows: Sequence, schema: str | T.StructType) -> DataFrame:
+    """A few driver-held rows (scores, settings, a checked small lookup) as a DataFrame.
+
+    The rows travel as one literal, so no Python worker has to start for them.
+    """
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = json.dumps([dict(zip(fields.names, row)) for row in rows])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(fields))))

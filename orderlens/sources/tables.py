@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens import schemas
 from orderlens.operators import audit
-from orderlens.session import materialize
+from orderlens.session import materialize, small_table
 
 
 class ConstraintViolation(ValueError):
@@ -37,7 +37,7 @@ class TableStore:
 
     def create(self, table: str) -> None:
         """An empty table where there is none yet."""
-        empty = self.spark.createDataFrame([], schemas.TABLES[table].schema)
+        empty = small_table(self.spark, [], schemas.TABLES[table].schema)
         empty.write.mode("ignore").parquet(self.path(table))
 
     def scan(self, table: str) -> DataFrame:
