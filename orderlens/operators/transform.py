@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark import keyword_only
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
@@ -217,8 +218,13 @@ class _TransformerWriter(MLWriter):
 
 class _TransformerReader(MLReader):
     def load(self, path: str) -> OrderTransformerModel:
+        """Read a saved transformer; a missing one is a ValueError."""
+        try:
+            stored = self.sparkSession.read.parquet(f"{path}/encoding")
+        except AnalysisException as error:
+            raise ValueError(f"could not find the saved transformer {path}") from error
         metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
-        encoding, _ = _settle(self.sparkSession.read.parquet(f"{path}/encoding"))
+        encoding, _ = _settle(stored)
         model = OrderTransformerModel(metadata["fitted"]["bounds"], encoding, metadata["fitted"]["prior"])
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.operators import cleaning, evaluate, models, sampling, selection, transform
+from orderlens.operators import cleaning, evaluate, models, sampling, scoring, selection, transform
 from orderlens.session import materialize
 from orderlens.schemas import Relations
 
@@ -28,6 +28,26 @@ class TrainedRisk:
             model.save(f"{folder}/{name}")
 
 
+@dataclass
+class ScoringAssets:
+    """A saved transformer and models, loaded once for any number of orders."""
+
+    transformer: transform.OrderTransformerModel
+    models: dict[str, models.RiskModel]
+
+    @classmethod
+    def load(cls, folder: str, names: tuple[str, ...] = ("gbt", "rf")) -> "ScoringAssets":
+        return cls(
+            transform.OrderTransformerModel.load(f"{folder}/transformer"),
+            {t: models.RiskModel.load(f"{folder}/{t}") for t in map(models.model_choice, names)},
+        )
+
+    def score(self, df: DataFrame, model_type: str = "gbt", clip: bool = False) -> DataFrame:
+        """Probability per row; category still as text, freight and price already as logs."""
+        chosen = self.models[models.model_choice(model_type)]
+        return scoring.score_orders(df, self.transformer, chosen.best_model_, chosen.features_, clip)
+
+
 def prepared(tables: Relations, seed: int = sampling.SEED, test_size: float = 0.2):
     """Cleaned and split orders: (transformer, transformed train rows, transformed test rows).
 
@@ -61,6 +81,6 @@ def train_risk(
         model.tune_and_fit(
             reduced_train, selector.features_to_keep_, n_folds=n_folds, space=(space or {}).get(model.model_type)
         )
-        found[name] = model
-        reports[name] = evaluate.classification_report(model.predict(reduced_test))
+        found[model.model_type] = model
+        reports[model.model_type] = evaluate.classification_report(model.predict(reduced_test))
     return TrainedRisk(fitted, selector, found, reduced_test, reports)

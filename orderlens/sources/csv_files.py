@@ -57,7 +57,7 @@ def _typed(column: Column, data_type: T.DataType) -> Column:
         return F.when(
             broken, F.raise_error(F.concat(F.lit("not a whole number: "), present)).cast("int")
         ).otherwise(whole)
-    if isinstance(data_type, T.DecimalType):
+    if isinstance(data_type, T.NumericType):
         number = present.try_cast(data_type)
         return F.when(
             present.isNotNull() & number.isNull(),
@@ -71,26 +71,34 @@ def csv_scan(
     path: str,
     columns: dict[str, T.DataType] | None = None,
     line_breaks_in_fields: bool = False,
+    infer: bool = False,
 ) -> DataFrame:
-    """Read a headed CSV by column name; timestamps stay text until the cleanup step.
+    """Read a headed CSV by column name; times stay text until the cleanup step.
 
-    Fields that hold line breaks make a file unsplittable, so that reading mode is only
-    used where it is asked for.
+    ``columns`` names and types the result.  With ``infer`` it only overrides the types
+    found by one more pass over the file.  Fields that hold line breaks make a file
+    unsplittable, so that reading mode is only used where it is asked for.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", line_breaks_in_fields)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+
+    def reader():
+        return (
+            spark.read.option("header", True)
+            .option("multiLine", line_breaks_in_fields)
+            .option("quote", '"')
+            .option("escape", '"')
+        )
+
+    raw = reader().csv(path)
     by_name = {name.lstrip("\ufeff"): name for name in raw.columns}
-    if columns is None:
-        return raw.select(*[_typed(F.col(f"`{old}`"), T.StringType()).alias(new) for new, old in by_name.items()])
-    absent = [c for c in columns if c not in by_name]
+    wanted = dict(columns or {})
+    absent = [c for c in wanted if c not in by_name]
     if absent:
         raise ValueError(f"{path} lacks the columns {absent}")
-    return raw.select(*[_typed(F.col(f"`{by_name[c]}`"), t).alias(c) for c, t in columns.items()])
+    if infer or not wanted:
+        found = reader().option("inferSchema", infer).csv(path).schema
+        numbers = {n: f.dataType for n, f in zip(by_name, found) if isinstance(f.dataType, T.NumericType)}
+        wanted = {n: wanted.get(n, numbers.get(n, T.StringType())) for n in by_name}
+    return raw.select(*[_typed(F.col(f"`{by_name[c]}`"), t).alias(c) for c, t in wanted.items()])
 
 
 def scan_dataset(spark: SparkSession, folder: str, table: str) -> DataFrame:

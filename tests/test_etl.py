@@ -124,3 +124,11 @@ def test_create_tables(spark):
         assert spark.table("shop_test.orders").select(F.count("*")).first()[0] == 1
     finally:
         spark.sql("DROP DATABASE shop_test CASCADE")
+
+
+def test_inferred_types_with_overrides(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("zip,n,x,day\n01234,1,1.5,2018-01-01\n04321,,2,2018-01-02\n")
+    df = csv_files.csv_scan(spark, str(tmp_path / "a.csv"), {"zip": schemas.TEXT}, infer=True)
+    assert dict(df.dtypes) == {"zip": "string", "n": "int", "x": "double", "day": "string"}
+    assert [tuple(r) for r in df.orderBy("zip").collect()] == [("01234", 1, 1.5, "2018-01-01"), ("04321", None, 2.0, "2018-01-02")]
+    assert set(dict(csv_files.csv_scan(spark, str(tmp_path / "a.csv")).dtypes).values()) == {"string"}
