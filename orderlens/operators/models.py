@@ -84,11 +84,15 @@ def train(
     seed: int = SEED,
     weights: dict[int, float] | None = None,
 ):
-    """Fit one weighted classifier on the rows."""
+    """Fit one weighted classifier on the rows.
+
+    The copy leaves the training summary behind, which would keep the training rows alive
+    and travel with every scoring task.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     features = features or feature_label_split(df)[0]
     rows = assemble(with_weights(df, model_type, weights), features)
-    return make_classifier(model_type, params, seed).fit(rows.select(LABEL, WEIGHT, FEATURES))
+    return make_classifier(model_type, params, seed).fit(rows.select(LABEL, WEIGHT, FEATURES)).copy()
 
 
 def predict(df: DataFrame, model, features: list[str]) -> DataFrame:

@@ -100,11 +100,21 @@ def order_features() -> dict:
     }
 
 
+def product_facts(products: DataFrame, category_names: DataFrame) -> DataFrame:
+    """Product features, one row per product.
+
+    Categories are few and very uneven, so their names are joined to the products, never
+    to the much longer list of orders.
+    """
+    rows = join_category(products, category_names)
+    return rows.select("product_id", *[e.alias(n) for n, e in product_features().items()])
+
+
 def order_facts(tables: Relations) -> DataFrame:
     """All features but the review score, one row per delivered order with items.
 
-    Order expressions are computed before the product join so that only short columns
-    travel through its exchange.
+    Order and product expressions are computed before the two meet, so only short columns
+    travel through the exchange of the join.
     """
     rows = join_items(delivered_orders(tables.orders), order_items_agg(tables.order_items))
     rows = rows.select(
@@ -115,10 +125,9 @@ def order_facts(tables: Relations) -> DataFrame:
         "total_freight",
         *[e.alias(n) for n, e in order_features().items()],
     )
-    rows = join_category(join_products(rows, tables.products), tables.category_names)
-    features = {**{n: F.col(n) for n in rows.columns}, **product_features()}
+    rows = join_products(rows, product_facts(tables.products, tables.category_names))
     wanted = [c for c in schemas.FEATURE_COLUMNS if c not in ("review_score", "bad_score")]
-    return rows.select("order_id", "most_imp_product_id", *[features[c].alias(c) for c in wanted])
+    return rows.select("order_id", *wanted)
 
 
 def with_scores(rows: DataFrame) -> DataFrame:

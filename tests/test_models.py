@@ -180,6 +180,17 @@ def test_selection_and_impact_find_the_driver(spark, rows):
     assert order == sorted(order)
 
 
+def test_forest_scores_in_a_session_that_observes(spark, rows):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    model = models.train(rows, "rf", ["late", "items"], {"numTrees": 3, "maxDepth": 3})
+    assert not model.hasSummary and seen.get["n"] == 400
+    assert models.predict(rows, model, ["late", "items"]).count() == 400
+    assert models.evaluate.f1(models.predict(rows, model, ["late", "items"])).first()[0] > 0
+
+
 def test_per_fold_preparation(spark, rows):
     class Shift:
         def fit(self, df):
