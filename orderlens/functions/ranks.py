@@ -7,6 +7,7 @@ rows of one bucket have to meet in a task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -66,15 +67,16 @@ def take_share(
     strata: list[str] = (),
     flag_name: str = "taken",
     digits: int = 3,
+    whole: Callable[[Column], Column] = F.floor,
 ) -> DataFrame:
-    """Flag the first ``floor(share * n)`` rows of every stratum in hash order.
+    """Flag the first ``whole(share * n)`` rows of every stratum in hash order.
 
     Only the one bucket of a stratum that holds the cut is ranked; for all other rows
     the flag is a comparison with the cut, so the input itself is never shuffled.
     """
     keys = list(strata) or ["_all"]
     hashed = _hashed(df if strata else df.withColumn("_all", F.lit(0)), id_column, seed, digits)
-    wanted = F.floor(F.col("_total") * F.lit(Decimal(str(share))))
+    wanted = whole(F.col("_total") * F.lit(Decimal(str(share))))
     boundary = (
         _bucket_offsets(hashed, keys)
         .withColumn("_wanted", wanted)

@@ -26,11 +26,11 @@ def _repeated_keys(df: DataFrame, spec: schemas.TableSpec) -> DataFrame:
 def _dangling(df: DataFrame, spec: schemas.TableSpec, column: str, target: DataFrame, target_column: str) -> DataFrame:
     """Rows whose reference has no target.
 
-    Equal references are counted first, so a reference shared by a third of all rows
+    Equal values are collapsed on both sides first, so a key shared by a third of all rows
     takes part in the anti join as one row.
     """
     used = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("copies"))
-    lost = used.join(target.select(F.col(target_column).alias(column)), column, "left_anti")
+    lost = used.join(target.select(F.col(target_column).alias(column)).distinct(), column, "left_anti")
     found = lost.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n_bad"))
     return _labelled(found, spec.name, "foreign_key_exists", column)
 

@@ -143,12 +143,13 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     """Pearson correlation of every pair of numeric columns except the score.
 
     The sums run on the executors; only the matrix (columns x columns) reaches the driver.
+    Rows must be complete, as cleaned orders are: a null fails rather than losing its row.
     """
     if columns is None:
         skipped = ("order_id", "review_score")
         columns = [c for c, t in df.dtypes if c not in skipped and (t in ("int", "bigint", "double") or t.startswith("decimal"))]
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    vectors = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(numeric)
+    vectors = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="error").transform(numeric)
     matrix = Correlation.corr(vectors.select("features"), "features").first()[0].toArray()
     known = [[None if math.isnan(v) else float(v) for v in line] for line in matrix]
     rows = [(a, b, known[i][j]) for i, a in enumerate(columns) for j, b in enumerate(columns)]
@@ -192,7 +193,8 @@ def histogram(df: DataFrame, bins: dict[str, int] | None = None) -> DataFrame:
 def box_stats(df: DataFrame, columns: list[str] | None = None, by: str = "review_score") -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges and outliers, per group.
 
-    Day counts have few distinct values, so rows are collapsed to (value, copies) first
+    A whisker never ends inside the box, even where a quartile lies beyond the last value
+    within reach.  Day counts have few distinct values, so rows are collapsed to (value, copies) first
     and everything else works on those.
     """
     columns = columns or BOX_COLUMNS
@@ -218,8 +220,8 @@ def box_stats(df: DataFrame, columns: list[str] | None = None, by: str = "review
             F.col("q")[0].alias("q1"),
             F.col("q")[1].alias("median"),
             F.col("q")[2].alias("q3"),
-            "whisker_low",
-            "whisker_high",
+            F.least("whisker_low", F.col("q")[0]).alias("whisker_low"),
+            F.greatest("whisker_high", F.col("q")[2]).alias("whisker_high"),
             "n_outliers",
         )
     )

@@ -30,8 +30,9 @@ def stratified_folds(
 
 
 def validation_sample(df: DataFrame, share: float = 0.2, seed: int = SEED, id_column: str = "order_id") -> DataFrame:
-    """An exact share of the rows, the same ones for the same seed."""
-    return take_share(df, str(share), id_column, seed, (), "_taken").where("_taken").drop("_taken")
+    """An exact share of the rows (rounded half to even), the same ones for the same seed."""
+    taken = take_share(df, str(share), id_column, seed, (), "_taken", whole=F.bround)
+    return taken.where("_taken").drop("_taken")
 
 
 def head(df: DataFrame, n: int = 5, order_by: list[str] = ("order_id",)) -> DataFrame:

@@ -313,7 +313,8 @@ def _boxes() -> str:
     )
     return sql(
         """SELECT column_name, review_score, count(*) AS n, min(q1) AS q1, min(median) AS median, min(q3) AS q3,
-             min(value) FILTER (inside) AS whisker_low, max(value) FILTER (inside) AS whisker_high,
+             least(min(value) FILTER (inside), min(q1)) AS whisker_low,
+             greatest(max(value) FILTER (inside), max(q3)) AS whisker_high,
              count(*) FILTER (NOT inside) AS n_outliers
            FROM (SELECT *, value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside
                  FROM vals JOIN quartiles USING (column_name, review_score))
@@ -568,7 +569,7 @@ def oracle_sql() -> dict[str, str]:
     out["validation_sample"] = sql(
         """SELECT order_id, bad_score FROM (SELECT order_id, bad_score, count(*) OVER () AS n,
              row_number() OVER (ORDER BY md5('123|' || order_id), order_id) AS r FROM split WHERE split = 'test')
-           WHERE r <= floor(n * 0.2)"""
+           WHERE r <= round(n * 0.2)"""
     )
     features = [c for c in schemas.FEATURE_COLUMNS if c not in ("review_score", "bad_score", "total_price", "total_freight")]
     out["feature_label_split"] = sql(

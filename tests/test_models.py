@@ -83,6 +83,36 @@ def test_transformer_round_trip_and_large_category_table(spark, tmp_path, monkey
         transform.OrderTransformerModel().transform(df)
 
 
+def test_transformer_is_a_pipeline_stage(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    data = [(f"c{i % 4}", i % 2, i % 30 + 9 * (i % 2), i % 11 - 5, i % 7, i % 5, 10.0 + i, 1.0) for i in range(120)]
+    df = spark.createDataFrame(
+        data,
+        "category string, bad_score int, delivery_days int, estimated_delivery_diff int, processing_days int, "
+        "seller_disp_diff int, total_price double, total_freight double",
+    )
+    stages = [
+        transform.OrderTransformer(smoothing=5.0),
+        VectorAssembler(inputCols=["delivery_days", "category", "log_total_price"], outputCol="features"),
+        RandomForestClassifier(numTrees=3, labelCol="bad_score", seed=1),
+    ]
+    fitted = Pipeline(stages=stages).fit(df)
+    fitted.write().overwrite().save(str(tmp_path / "p"))
+    loaded = PipelineModel.load(str(tmp_path / "p"))
+    assert loaded.stages[0].getOrDefault("smoothing") == 5.0
+    first, second = (sorted(map(str, m.transform(df).select("probability").collect())) for m in (fitted, loaded))
+    assert first == second
+
+
+def test_sample_size_is_rounded(spark):
+    for n, expected in ((10, 2), (12, 2), (13, 3), (1, 0), (3, 1)):
+        ids = spark.range(n).withColumnRenamed("id", "order_id")
+        assert sampling.validation_sample(ids).count() == expected
+
+
 def test_weights(spark):
     df = spark.createDataFrame([(0,)] * 79 + [(1,)] * 21, "bad_score int")
     assert evaluate.class_weight(df).first()["pos_weight"] == pytest.approx(79 / 21)

@@ -51,6 +51,12 @@ def test_box_stats(spark):
     assert (row["whisker_low"], row["whisker_high"], row["n_outliers"]) == (1.0, 5.0, 1)
 
 
+def test_whisker_reaches_the_box(spark):
+    df = spark.createDataFrame([(1, v) for v in [1, 2, 3, 100]], "review_score int, d int")
+    row = profile.box_stats(df, ["d"]).first()
+    assert (row["q3"], row["whisker_low"], row["whisker_high"], row["n_outliers"]) == (27.25, 1.0, 27.25, 1)
+
+
 def test_histogram_counts_every_row_once(spark):
     values = [0.0, 0.5, 1.0, 1.0, 10.0]
     df = spark.createDataFrame([(v,) for v in values], "v double")
