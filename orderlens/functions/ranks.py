@@ -73,6 +73,7 @@ def take_share(
 
     Only the one bucket of a stratum that holds the cut is ranked; for all other rows
     the flag is a comparison with the cut, so the input itself is never shuffled.
+    Ids must be unique.
     """
     keys = list(strata) or ["_all"]
     hashed = _hashed(df if strata else df.withColumn("_all", F.lit(0)), id_column, seed, digits)

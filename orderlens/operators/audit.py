@@ -16,10 +16,18 @@ def _labelled(df: DataFrame, table: str, rule: str, column: str) -> DataFrame:
     )
 
 
-def _repeated_keys(df: DataFrame, spec: schemas.TableSpec) -> DataFrame:
+def _repeated_keys(df: DataFrame, spec: schemas.TableSpec, stored: DataFrame | None) -> DataFrame:
+    """Rows too many for their key, among themselves and against the stored rows.
+
+    The comparison with a long table is an inner join on the new keys, which the optimizer
+    can run without moving the stored ones when few rows are new.
+    """
     keys = list(spec.primary_key)
-    copies = df.groupBy(*keys).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
+    copies = df.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("copies"))
     found = copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("n_bad"))
+    if stored is not None:
+        taken = copies.select(*keys).join(stored.select(*keys), keys).distinct()
+        found = found.unionByName(taken.agg(F.count("*").alias("n_bad"))).agg(F.sum("n_bad").alias("n_bad"))
     return _labelled(found, spec.name, "primary_key_unique", ",".join(keys))
 
 
@@ -64,10 +72,7 @@ def table_violations(
             )
         )
     if spec.primary_key:
-        keys = df.select(*spec.primary_key)
-        if stored is not None:
-            keys = keys.unionByName(stored.select(*spec.primary_key))
-        parts.append(_repeated_keys(keys.dropna(), spec))
+        parts.append(_repeated_keys(df, spec, stored))
     for column, (table, target_column) in spec.foreign_keys.items():
         parts.append(_dangling(df, spec, column, referenced[table], target_column))
     return reduce(DataFrame.unionByName, parts)

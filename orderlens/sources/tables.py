@@ -61,9 +61,18 @@ class TableStore:
         return self.scan(table).count() - before
 
 
-def append_table(df: DataFrame, name: str, spec: schemas.TableSpec) -> None:
-    """Append to a catalog table by column name."""
-    _conform(df, spec).write.mode("append").saveAsTable(name)
+def append_table(df: DataFrame, table: str, database: str | None = None, enforce: bool = True) -> None:
+    """Append to a catalog table by column name, with the same rules as ``TableStore.append``."""
+    spec, spark = schemas.TABLES[table], df.sparkSession
+
+    def full(name: str) -> str:
+        return f"{database}.{name}" if database else name
+
+    rows = _conform(df, spec)
+    if enforce:
+        rows = materialize(rows, f"staged-{table}")
+        check_append(rows, spec, lambda name: spark.table(full(name)))
+    rows.write.mode("append").saveAsTable(full(table))
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:

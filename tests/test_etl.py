@@ -107,6 +107,17 @@ def test_audit_finds_planted_faults(spark):
     assert len(found) == 21
 
 
+def test_key_clashes_count_new_rows(spark):
+    rows = spark.createDataFrame([("a", "A"), ("a", "A"), ("b", "B"), ("c", "C")], schemas.CATEGORY_NAMES.schema)
+    stored = spark.createDataFrame([("a", "A"), ("a", "A"), ("b", "B"), ("z", "Z")], schemas.CATEGORY_NAMES.schema)
+
+    def repeated(*known):
+        found = audit.table_violations(rows, schemas.CATEGORY_NAMES, {}, *known)
+        return found.where("rule = 'primary_key_unique'").first()["n_bad"]
+
+    assert repeated() == 1 and repeated(stored) == 3
+
+
 def test_cleanup_leaves_other_columns_alone(spark):
     names = spark.createDataFrame([("a", "A")], "product_category_name string, product_category_name_english string")
     assert cleanup.clean_category_names(names).collect() == names.collect()
@@ -119,8 +130,13 @@ def test_create_tables(spark):
     try:
         names = tables.create_tables(spark, "shop_test")
         assert len(names) == 6 and tables.create_tables(spark, "shop_test") == names
-        rows = relations(spark).orders
-        tables.append_table(rows, "shop_test.orders", schemas.ORDERS)
+        planted = relations(spark)
+        with pytest.raises(tables.ConstraintViolation, match="customer_id"):
+            tables.append_table(planted.orders, "orders", "shop_test")
+        tables.append_table(planted.customers, "customers", "shop_test")
+        tables.append_table(planted.orders, "orders", "shop_test")
+        with pytest.raises(tables.ConstraintViolation, match="primary_key_unique"):
+            tables.append_table(planted.orders, "orders", "shop_test")
         assert spark.table("shop_test.orders").select(F.count("*")).first()[0] == 1
     finally:
         spark.sql("DROP DATABASE shop_test CASCADE")

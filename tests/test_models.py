@@ -49,6 +49,19 @@ def test_folds_are_even(spark, rows):
         assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
 
 
+def test_folds_do_not_depend_on_partitions(spark, rows):
+    a, b = sampling.stratified_folds(rows), sampling.stratified_folds(rows.repartition(11))
+    assert a.exceptAll(b).count() == 0 and a.count() == 400
+
+
+def test_encoding_stays_between_means_and_prior(spark):
+    data = [(f"c{i % 7}", int(i * i % 5 < i % 7)) for i in range(300)]
+    df = spark.createDataFrame(data, "category string, bad_score int")
+    means = [r[1] for r in df.groupBy("category").agg(F.avg("bad_score")).collect()]
+    for r in transform.target_encoding(df).collect():
+        assert min(means) <= r["encoded"] <= max(means) and min(means) <= r["prior"] <= max(means)
+
+
 def test_sample_is_exact_and_seeded(spark, rows):
     a, b = sampling.validation_sample(rows), sampling.validation_sample(rows.repartition(3))
     assert a.count() == 80 and a.exceptAll(b).count() == 0
