@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
 import json
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -22,7 +22,7 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_local_scratch: str | None = None
+_cleaned: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -45,19 +45,15 @@ def build_session(app_name: str = "orderlens", master: str | None = None, **conf
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
+    """The folder every executor can reach.
 
-    Only a local master may fall back to a folder of this machine.
+    In this order: the setting ``spark.checkpoint.dir``, the folder given to
+    ``SparkContext.setCheckpointDir``, a part of the session's table storage.
     """
-    global _local_scratch
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    if _local_scratch is None:
-        _local_scratch = tempfile.mkdtemp(prefix="orderlens-")
-    return _local_scratch
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -66,13 +62,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below this application's part of the shared folder.
+def scratch_root(spark: SparkSession) -> str:
+    """This application's part of the shared folder; it is dropped when the driver ends."""
+    root = f"{shared_folder(spark)}/orderlens/{spark.sparkContext.applicationId}"
+    if root not in _cleaned:
+        _cleaned.add(root)
+        atexit.register(drop_scratch, spark)
+    return root
 
-    The part can be dropped as a whole once the application has ended.
-    """
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/orderlens/{application}/{name}-{uuid.uuid4().hex}"
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; a stopped session is left alone."""
+    jvm, context = spark._jvm, spark.sparkContext._jsc
+    if jvm is None or context is None or context.sc().isStopped():
+        return
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below this application's part of the shared folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -94,4 +104,5 @@ def small_table(spark: SparkSession, rows: Sequence, schema: str | T.StructType)
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     text = json.dumps([dict(zip(fields.names, row)) for row in rows])
-    return spark.range(1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(fields))))
+    parsed = F.from_json(F.lit(text), T.ArrayType(fields), {"mode": "FAILFAST"})
+    return spark.range(1).select(F.inline(parsed))
