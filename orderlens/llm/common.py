@@ -19,7 +19,6 @@ WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BYTE_CODES = np.random.default_rng(20240917).integers(1, 1 << 63, 256).astype(np.uint64)
 _powers: dict[int, np.ndarray] = {}
 
@@ -100,23 +99,33 @@ def slice_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed:
     return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03) + np.uint64(seed))
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of each text: (start byte, end byte, hash, first word of each text with an end mark)."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of each maximal run of bytes that separate nothing, within one text."""
     n = len(data)
-    inside = ~WHITE[data]
+    inside = ~separators[data]
     first = np.zeros(n + 1, dtype=bool)  # a text begins here
-    first[offsets[:-1]] = True
+    first[offsets] = True
     before = np.zeros(n, dtype=bool)
     before[1:] = inside[:-1]
-    starts = np.flatnonzero(inside & (~before | first[:n]))
     after = np.zeros(n, dtype=bool)
     after[:-1] = inside[1:]
-    ends = np.flatnonzero(inside & (~after | first[1:])) + 1
-    if lower:
-        upper = (data >= 65) & (data <= 90)
-        data = np.where(upper, data + 32, data).astype(np.uint8)
-    hashes = slice_hashes(_BYTE_CODES[data], starts, ends)
-    return starts, ends, hashes, np.searchsorted(starts, offsets)
+    return np.flatnonzero(inside & (~before | first[:n])), np.flatnonzero(inside & (~after | first[1:])) + 1
+
+
+def lower(data: np.ndarray) -> np.ndarray:
+    """A-Z as a-z, all other bytes as they are."""
+    return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+
+
+def slice_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each lower-cased word, index of the first word of each text and an end mark)."""
+    starts, ends = word_bounds(data, offsets, separators)
+    return slice_hashes(byte_codes(lower(data)), starts, ends), np.searchsorted(starts, offsets)
+
+
+def byte_codes(data: np.ndarray) -> np.ndarray:
+    """A 64-bit code for each byte."""
+    return _BYTE_CODES[data]
 
 
 def sliding_min_at(values: np.ndarray, width: int) -> np.ndarray:

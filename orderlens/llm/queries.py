@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderlens.llm import packing, tokens
+from orderlens.llm import decontaminate, packing, secrets, tokens, topk, toxicity
 from orderlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,10 +29,39 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"), limit=1024, **vocabulary_files())
 
 
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """Five greatest inner products of every fiftieth vector."""
+    vectors = topk.integers(table(spark, folder, "embeddings"), 256)
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and the similarity."""
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    found = secrets.secret_spans(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
+    counts = [F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long") for i in range(len(secrets.BASE))]
+    return found.select(
+        "doc_id",
+        *[n.alias(f"n_{r.kind}") for n, r in zip(counts, secrets.BASE)],
+        F.sha2(secrets.named(base), 256).alias("base_sha256"),
+        secrets.named(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labelled rows that are not held out."""
+    return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), threshold=0.7)
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 1024 tokens, end id 0."""
     return packing.pack(table(spark, folder, "documents"), end_id=0, capacity=1024, **vocabulary_files())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op10_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_top_k, op4_decontamination, op6_secrets, op8_toxicity, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
