@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontaminate, packing, secrets, tokens, topk, toxicity
+from orderlens.llm import decontaminate, jaccard, packing, repeats, secrets, tokens, topk, toxicity
 from orderlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,12 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that are left when passages of 35 words found elsewhere are removed."""
+    found = repeats.remove_repeats(table(spark, folder, "documents"), length=35)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of secrets in every document."""
     found = secrets.secret_spans(table(spark, folder, "documents"))
@@ -53,6 +59,12 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    found = jaccard.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document, learnt from the labelled rows that are not held out."""
     return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), threshold=0.7)
@@ -63,5 +75,5 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), end_id=0, capacity=1024, **vocabulary_files())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_top_k, op4_decontamination, op6_secrets, op8_toxicity, op10_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_top_k, op4_decontamination, op5_substring_dedup, op6_secrets, op7_jaccard, op8_toxicity, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
