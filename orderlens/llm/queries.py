@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontaminate, jaccard, packing, repeats, secrets, tokens, topk, toxicity
+from orderlens.llm import bwt, decontaminate, jaccard, packing, repeats, secrets, tokens, topk, toxicity
 from orderlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,10 +70,16 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), threshold=0.7)
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document that are left when strings of 50 bytes of earlier documents are removed."""
+    found = bwt.remove_repeated_bytes(table(spark, folder, "documents"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 1024 tokens, end id 0."""
     return packing.pack(table(spark, folder, "documents"), end_id=0, capacity=1024, **vocabulary_files())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_top_k, op4_decontamination, op5_substring_dedup, op6_secrets, op7_jaccard, op8_toxicity, op10_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_top_k, op4_decontamination, op5_substring_dedup, op6_secrets, op7_jaccard, op8_toxicity, op9_suffix_dedup, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
