@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import mix, pieces, slice_hashes, sliding_min_at, utf8
@@ -54,12 +54,17 @@ def find(codes: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> Anch
     return Anchors(text, grams[place], place - base, first - base, ends - starts, *spans)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(d, key, doc_id, text) without nulls but in doc_id: d and key together name the pair of id and text."""
+def pair_of(docs: DataFrame) -> tuple[Column, Column]:
+    """Two values, never null, that together name a row's id and text; a null text is as an empty one."""
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(
-        F.coalesce(doc_id, F.lit(-1)).alias("d"), F.xxhash64(doc_id, text).alias("key"), doc_id.alias("doc_id"), text.alias("text")
-    )
+    return F.coalesce(doc_id, F.lit(-1)), F.xxhash64(doc_id, text)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(d, key, doc_id, text) of every row; d and key name its id and text, null texts are empty."""
+    d, key = pair_of(docs)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(d.alias("d"), key.alias("key"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
 
 
 def table(docs: DataFrame, read, length: int, gram: int) -> DataFrame:

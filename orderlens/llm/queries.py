@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import bwt, decontaminate, jaccard, packing, repeats, secrets, tokens, topk, toxicity
+from orderlens.llm import bwt, decontaminate, jaccard, language_model, packing, repeats, secrets, tokens, topk, toxicity
 from orderlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op3_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Cross-entropy difference of every document between those labelled good and all."""
+    good = table(spark, folder, "labels").where("quality = 1")
+    return language_model.entropy_difference(table(spark, folder, "documents"), good)
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item and the similarity."""
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -81,5 +87,5 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), end_id=0, capacity=1024, **vocabulary_files())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_top_k, op4_decontamination, op5_substring_dedup, op6_secrets, op7_jaccard, op8_toxicity, op9_suffix_dedup, op10_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_top_k, op3_language_model, op4_decontamination, op5_substring_dedup, op6_secrets, op7_jaccard, op8_toxicity, op9_suffix_dedup, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}

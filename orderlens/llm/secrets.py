@@ -163,7 +163,7 @@ def rule_spans(text: Column, number: int, rule: Rule) -> Column:
 
 
 def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(doc_id, text, spans) of every row; spans is a sorted array of (start, kind, end).
+    """(doc_id, text, spans, row) of every row; spans is a sorted array of (start, kind, end), row the input row.
 
     ``kind`` is the number of the rule; places are code points, ends exclusive.  A null text
     counts as empty and has no spans.  Rows keep their number: repeated rows and null ids are
@@ -171,7 +171,8 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """
     rows = texts(docs)
     found = candidates(rows, rules).select(F.col("doc_id").alias("cand_id"), "rules")
-    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("cand_id")), "left")
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
+    joined = whole.join(found, F.col("doc_id").eqNullSafe(F.col("cand_id")), "left")
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
     def spans(i: int, r: Rule) -> Column:
@@ -182,7 +183,7 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         return F.when(asked, rule_spans(F.col("text"), i, r)).otherwise(none)
 
     every = F.concat(*[spans(i, r) for i, r in enumerate(rules)])
-    return joined.select("doc_id", "text", F.inline(F.array(F.struct(F.array_sort(every).alias("spans")))))
+    return joined.select("doc_id", "text", "row", F.inline(F.array(F.struct(F.array_sort(every).alias("spans")))))
 
 
 def least_match(rule: Rule) -> str:
@@ -211,3 +212,17 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     tail = F.aggregate(spans, start, merge, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
     return F.when(F.size(spans) > 0, tail).otherwise(text)
+
+
+def mask(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
+    """The rows of ``docs``, all columns, with ``mark`` in place of secrets; n_chars, if there, follows the text."""
+    found = secret_spans(docs, rules).withColumn("masked", redacted(F.col("text"), F.col("spans"), mark))
+    columns = []
+    for c in docs.columns:
+        value = F.col("row").getField(c)
+        if c == "text":
+            value = F.col("masked")
+        elif c == "n_chars":
+            value = F.when(F.size("spans") > 0, F.length("masked").cast(docs.schema[c].dataType)).otherwise(value)
+        columns.append(value.alias(c))
+    return found.select(*columns)
