@@ -59,7 +59,7 @@ def main() -> None:
             found.reports[name].show(truncate=False)
     else:
         assets = training.ScoringAssets.load(args.model_folder, (args.model,))
-        rows = transform.log_transform(cleaning.cleaned_orders(tables))
+        rows = transform.log_transform(cleaning.scorable_orders(tables))
         scored = assets.score(rows, args.model, args.clip).select(
             "order_id", "num_items", "estimated_delivery_diff", "probability"
         )

@@ -10,7 +10,7 @@ SPACES = (
     "[\\t-\\r\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
     "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 )
-TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+TIMESTAMP_SHAPE = r"\A\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\z"
 
 
 def tidy_text(column: Column) -> Column:
@@ -20,7 +20,7 @@ def tidy_text(column: Column) -> Column:
 
 
 def parse_timestamp(column: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` only; anything else is null whatever the ANSI mode or time zone."""
+    """``yyyy-M-d H:m:s``, one or two digits each; anything else, also with a line break after it, is null."""
     text = column.cast("string")
     return F.when(text.rlike(TIMESTAMP_SHAPE), text.try_cast("timestamp_ntz"))
 

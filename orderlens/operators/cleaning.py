@@ -68,6 +68,11 @@ def reviewed_orders(tables: Relations) -> DataFrame:
     return fv.with_scores(fv.join_reviews(facts, latest_reviews(tables.reviews))).select(*CARRIED)
 
 
+def scorable_orders(tables: Relations) -> DataFrame:
+    """Delivered orders with all facts, reviewed or not: what a model is asked about."""
+    return clamp_processing_days(cast_day_columns(drop_nulls(fv.order_facts(tables))))
+
+
 def cleaned_orders(tables: Relations) -> DataFrame:
     """Same rows as ``clean_data(feature_view(tables))``, planned from the tables."""
     return clamp_processing_days(cast_day_columns(reviewed_orders(tables)))

@@ -104,11 +104,11 @@ def threshold_sweep(
 ) -> DataFrame:
     """Confusion cells and metrics for each threshold in hundredths.
 
-    Rows collapse to 101 probability buckets in one pass; each threshold is then a running
+    Rows without a probability have no decision and are left out.  Rows collapse to 101 probability buckets in one pass; each threshold is then a running
     sum over the buckets from the top.
     """
     bucket = F.greatest(F.lit(0), F.least(F.lit(100), hundredths(F.col(probability))))
-    counts = df.groupBy(bucket.alias("bucket")).agg(
+    counts = df.where(F.col(probability).isNotNull()).groupBy(bucket.alias("bucket")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
     steps = df.sparkSession.range(101).select(F.col("id").cast("int").alias("bucket"))

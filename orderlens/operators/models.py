@@ -28,12 +28,12 @@ from orderlens.session import ensure_checkpoint_dir, small_table
 
 LABEL, WEIGHT, FEATURES = "bad_score", "_weight", "_features"
 NOT_FEATURES = ("order_id", "review_score", "bad_score", "split", "fold")
-ALIASES = {"xgb": "gbt", "gbt": "gbt", "rf": "rf"}
+ALIASES = {"xgb": "gbt", "gbt": "gbt", "xgboost": "gbt", "rf": "rf", "random forest": "rf"}
 MODEL_CLASSES = {"gbt": GBTClassificationModel, "rf": RandomForestClassificationModel}
 
 
 def model_choice(model_type: str) -> str:
-    """Normalised model type; 'xgb' and 'gbt' both mean gradient-boosted trees."""
+    """Normalised model type: gradient-boosted trees or a forest, by short or by offered name."""
     chosen = ALIASES.get(str(model_type).lower())
     if chosen is None:
         raise ValueError(f"unknown model type {model_type!r}: use 'xgb' (or 'gbt') or 'rf'")

@@ -90,13 +90,20 @@ def score_orders(
 
 
 def risk_decision(df: DataFrame, threshold: float = 0.5, probability: str = "probability") -> DataFrame:
-    """Level, advice and percentage; a probability equal to the threshold is high risk."""
+    """Level, advice and percentage; a probability equal to the threshold is high risk.
+
+    All three are null without a probability.  A percentage midway between two tenths goes to the
+    even one, as those of binary fractions can be.
+    """
     high = F.col(probability) >= check_threshold(threshold)
+    percent = F.col(probability) * 100
+    midway = F.pmod(percent * 2, F.lit(1.0)) == 0.5
+    shown = F.format_string("%.1f%%", F.when(midway, F.bround(percent, 1)).otherwise(percent))
     return df.withColumns(
         {
-            "risk_percent": F.format_string("%.1f%%", F.col(probability) * 100),
-            "risk_level": F.when(high, "High Risk").otherwise("Safe"),
-            "advice": F.when(high, "contact the customer").otherwise("no intervention"),
+            "risk_percent": F.when(percent.isNotNull(), shown),
+            "risk_level": F.when(high, "High Risk").when(~high, "Safe"),
+            "advice": F.when(high, "contact the customer").when(~high, "no intervention"),
         }
     )
 

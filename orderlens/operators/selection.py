@@ -58,7 +58,11 @@ class Selector:
             rows.unpersist()
         self.features_to_keep_ = kept
         self.support_ = {f: f in kept for f in features}
-        self.cv_results = small_table(df.sparkSession, scores, "n_features int, fold int, f1 double")
+        self.cv_results = small_table(
+            df.sparkSession,
+            [(n, fold, f1, by_size[n]) for n, fold, f1 in scores],
+            "n_features int, fold int, f1 double, mean_f1 double",
+        )
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def run_etl(spark: SparkSession, folder: str, store: TableStore, enforce: bool =
             cleaned = dataset.transform(scan_dataset(spark, folder, table))
             status.append((position, table, store.append(cleaned, table, enforce), True, None))
         except Exception as error:  # any failure ends the run and is reported with its table
-            status.append((position, table, None, False, str(error).splitlines()[0][:500]))
+            status.append((position, table, None, False, str(error)))
             break
     return small_table(spark, status, STATUS)
 

@@ -547,10 +547,10 @@ def _(spark, folder):
 
 @query("select_features")
 def _(spark, folder):
-    """Elimination down from the seven scoring columns, all training rows."""
+    """Elimination down from all features, all training rows; stumps on two folds."""
     _, train, _test = _prepared(spark, folder)
     selector = selection.Selector(n_folds=2, params={"maxIter": 1, "maxDepth": 2}, parallelism=4)
-    return selector.fit(train, scoring.SCORING_COLUMNS).cv_results
+    return selector.fit(train).cv_results
 
 
 @query("apply_selection")
@@ -561,10 +561,10 @@ def _(spark, folder):
 
 @query("search_space")
 def _(spark, folder):
-    """One trial per value of num_items in the cleaned orders: drawn parameters with its rows."""
+    """Sixteen drawn trials, each with the cleaned orders that have as many items as its number."""
     sizes = _cleaned(spark, folder).groupBy("num_items").agg(F.count("*").alias("n_rows"))
     drawn = [(i, str(p)) for i, p in enumerate(models.search_space("xgb", 16))]
-    return sizes.join(small_table(spark, drawn, "num_items int, params string"), "num_items")
+    return small_table(spark, drawn, "num_items int, params string").join(sizes, "num_items", "left")
 
 
 def _tune(name: str, model_type: str) -> None:

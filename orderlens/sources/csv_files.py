@@ -76,7 +76,8 @@ def csv_scan(
     """Read a headed CSV by column name; times stay text until the cleanup step.
 
     ``columns`` names and types the result.  With ``infer`` it only overrides the types
-    found by one more pass over the file.  Fields that hold line breaks make a file
+    found by one more pass over the file.  All files of the path must have the same header in
+    the same order, and every row as many fields as the header; anything else fails.  Fields that hold line breaks make a file
     unsplittable, so that reading mode is only used where it is asked for.
     """
 
@@ -86,6 +87,9 @@ def csv_scan(
             .option("multiLine", line_breaks_in_fields)
             .option("quote", '"')
             .option("escape", '"')
+            .option("enforceSchema", False)
+            .option("mode", "FAILFAST")
+            .option("columnPruning", False)
         )
 
     raw = reader().csv(path)

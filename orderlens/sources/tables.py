@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens import schemas
@@ -35,16 +35,18 @@ class TableStore:
     def path(self, table: str) -> str:
         return f"{self.folder}/{table}"
 
-    def create(self, table: str) -> None:
-        """An empty table where there is none yet."""
-        empty = small_table(self.spark, [], schemas.TABLES[table].schema)
-        empty.write.mode("ignore").parquet(self.path(table))
-
     def scan(self, table: str) -> DataFrame:
-        """The table as stored."""
-        self.create(table)
+        """The table as stored; one that was never written raises and names its path."""
         return self.spark.read.schema(schemas.TABLES[table].schema).parquet(self.path(table))
 
+    def scan_or_empty(self, table: str) -> DataFrame:
+        """The table, or no rows before its first load."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path(table))
+        if path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return self.scan(table)
+        return small_table(self.spark, [], schemas.TABLES[table].schema)
+
     def append(self, df: DataFrame, table: str, enforce: bool = True) -> int:
         """Append rows by column name and return how many; a broken table rule stops the load.
 
@@ -55,10 +57,10 @@ class TableStore:
         rows = _conform(df, spec)
         if enforce:
             rows = materialize(rows, f"staged-{table}")
-            check_append(rows, spec, self.scan)
-        before = self.scan(table).count()  # from file footers
-        rows.write.mode("append").parquet(self.path(table))
-        return self.scan(table).count() - before
+            check_append(rows, spec, self.scan_or_empty)
+        written = Observation()
+        rows.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(self.path(table))
+        return written.get["n"]
 
 
 def append_table(df: DataFrame, table: str, database: str | None = None, enforce: bool = True) -> None:

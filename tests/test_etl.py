@@ -1,6 +1,8 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
+from orderlens.functions import expressions
 from pyspark.sql import functions as F
 
 from orderlens import schemas
@@ -63,7 +65,9 @@ def test_first_failure_stops_the_run(spark, inputs, tmp_path):
     status = etl.run_etl(spark, inputs(shop_orders_dataset=bad), store).collect()
     assert [(r["table_name"], r["ok"]) for r in status] == [("customers", True), ("products", True), ("orders", False)]
     assert "foreign_key_exists" in status[-1]["error"]
-    assert store.scan("orders").count() == 0
+    with pytest.raises(AnalysisException, match="orders"):
+        store.scan("orders")  # never loaded
+    assert store.scan_or_empty("orders").count() == 0
 
 
 def test_second_load_of_the_same_keys_is_refused(spark, inputs, tmp_path):
@@ -148,3 +152,20 @@ def test_inferred_types_with_overrides(spark, tmp_path):
     assert dict(df.dtypes) == {"zip": "string", "n": "int", "x": "double", "day": "string"}
     assert [tuple(r) for r in df.orderBy("zip").collect()] == [("01234", 1, 1.5, "2018-01-01"), ("04321", None, 2.0, "2018-01-02")]
     assert set(dict(csv_files.csv_scan(spark, str(tmp_path / "a.csv")).dtypes).values()) == {"string"}
+
+
+def test_files_of_different_headers_and_rows_of_other_lengths_fail(spark, tmp_path):
+    for name, texts in {"order": ["a,b\n1,2\n", "b,a\n30,40\n"], "surplus": ["a,b\n2,y,EXTRA\n"], "short": ["a,b\n2\n"]}.items():
+        for breaks in (False, True):
+            folder = tmp_path / f"{name}-{breaks}"
+            folder.mkdir()
+            for i, text in enumerate(texts):
+                (folder / f"{i}.csv").write_text(text)
+            with pytest.raises(Exception):
+                csv_files.csv_scan(spark, f"{folder}/*.csv", line_breaks_in_fields=breaks).select("a").collect()
+
+
+def test_times_of_one_digit_parse_and_trailing_breaks_do_not(spark):
+    rows = [("2018-1-1 1:1:1",), ("2018-01-01 01:01:01\n",), ("2018-02-30 00:00:00",), ("2018-01-01",)]
+    got = spark.createDataFrame(rows, "t string").select(expressions.parse_timestamp(F.col("t")).alias("t")).collect()
+    assert [str(r["t"]) for r in got] == ["2018-01-01 01:01:01", "None", "None", "None"]

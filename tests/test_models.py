@@ -265,3 +265,13 @@ def test_scoring_rules_and_decision(spark):
     with pytest.raises(ValueError):
         scoring.risk_decision(df, 0.95)
     assert len(scoring.CATEGORIES) == 72
+
+
+def test_no_probability_is_no_decision_and_ties_go_to_the_even_tenth(spark):
+    rows = [(0, None), (1, 0.4325), (0, 0.1225), (1, 0.0625), (0, 0.5)]
+    df = spark.createDataFrame(rows, "bad_score int, probability double")
+    got = scoring.risk_decision(df).select("risk_percent", "risk_level").collect()
+    assert [tuple(r) for r in got] == [
+        (None, None), ("43.2%", "Safe"), ("12.2%", "Safe"), ("6.2%", "Safe"), ("50.0%", "High Risk"),
+    ]
+    assert evaluate.threshold_sweep(df).where("threshold = 90").first()["fp"] == 0
