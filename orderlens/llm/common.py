@@ -27,6 +27,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings of this package's plans: those of the library, and small Arrow batches."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # operators of several jobs store what they hand on, so shuffle files can go with their job
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 

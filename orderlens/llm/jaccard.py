@@ -2,7 +2,7 @@
 
 Texts of equal shingle sets are one class.  A shingle (token) of a class takes part if it is among
 the rarest of the set, as many as any similar set must share ``SHARED`` of.  Similar classes are put
-into groups: first each with the least class that has one of its tokens, then by the links found.
+into groups: first each with the class that leads most of its tokens, then by the links found.
 The matrix holds each group's union of tokens; a class opens a group only if its tokens in the
 union reach the bound, and only members that reach it themselves are compared exactly.  Classes
 of one group are never compared again, so copies cost one comparison each.
@@ -122,7 +122,15 @@ def class_tokens(docs: DataFrame) -> DataFrame:
     rows = docs.select("d", "text").mapInArrow(rarest, "token long, class long, n int")
     shared = rows.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
     shared = materialize(shared.select("token"), "tokens")
-    return materialize(rows.join(shared, "token").distinct(), "class-tokens")
+    found = materialize(rows.join(shared, "token").distinct(), "class-tokens")
+    # a class with too few such tokens has no similar class, and leaves others with fewer
+    for _ in range(2):
+        enough = found.groupBy("class", "n").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= needed(F.col("n")))
+        found = found.join(materialize(enough.select("class"), "classes"), "class", "left_semi")
+        several = found.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
+        found = found.join(materialize(several.select("token"), "tokens"), "token", "left_semi")
+        found = materialize(found.select("token", "class", "n"), "class-tokens")
+    return found
 
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -149,9 +157,11 @@ def ordered(a: Column, b: Column) -> list[Column]:
 
 def class_links(tokens: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, label) of the classes that are similar to another."""
-    # each class with the least class that has one of its tokens
+    # each class with the class that is the least of most of its tokens
     least = materialize(tokens.groupBy("token").agg(F.min("class").alias("least")), "least")
-    leaders = tokens.join(least, "token").groupBy("class").agg(F.min("least").alias("leader")).where("class <> leader")
+    shares = tokens.join(least, "token").where("class <> least").groupBy("class", "n", "least")
+    shares = shares.agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= needed(F.col("n")))
+    leaders = shares.groupBy("class").agg(F.max_by("least", F.struct("shared", "least")).alias("leader"))
     tested = materialize(leaders.select(*ordered(F.col("class"), F.col("leader"))).distinct(), "pairs")
     found = materialize(links(tested, sets), "links")
     labels = materialize(components(found), "labels")
@@ -163,13 +173,15 @@ def class_links(tokens: DataFrame, sets: DataFrame) -> DataFrame:
         spread = rows.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
         return materialize(rows.join(materialize(spread.select("token"), "open-tokens"), "token"), "grouped")
 
-    # each class with one class of another group for every token: brings copies together that
-    # the first choice of leaders has kept apart
+    # each class with classes of other groups that stand for enough of its tokens: brings copies
+    # together that the first choice of leaders has kept apart
     rows = grouped()
     centre = F.min(F.struct(F.xxhash64("class", F.lit(1)).alias("order"), "class", "group", "n")).alias("c")
     centres = materialize(rows.groupBy("token").agg(centre), "centres")
     star = rows.join(centres, "token").where((F.col("group") != F.col("c.group")) & sizes_fit(F.col("n"), F.col("c.n")))
-    star = star.select(*ordered(F.col("class"), F.col("c.class"))).distinct().join(tested, ["a", "b"], "left_anti")
+    star = star.groupBy("class", "n", F.col("c.class").alias("centre")).agg(F.count(F.lit(1)).alias("shared"))
+    star = star.where(F.col("shared") >= needed(F.col("n"))).select(*ordered(F.col("class"), F.col("centre"))).distinct()
+    star = star.join(tested, ["a", "b"], "left_anti")
     star = materialize(star, "pairs")
     tested = tested.union(star)
     found = materialize(found.union(links(star, sets)), "links")
