@@ -16,33 +16,36 @@ def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float], accu
     """(column_name, share, value) for every column with values and every share, in one plan.
 
     ``percentile`` would keep every distinct value of a column in one task.  Here a sketch
-    with a known rank error first brackets each wanted position; equal values are then
-    collapsed to counts on the map side, everything below a bracket becomes one count, and
-    only the values inside a bracket (about ``8 n / accuracy`` at most) are put in order.
+    with a known rank error first brackets each wanted position.  Values above a bracket are
+    dropped and those below it become one count on the map side, so only the values inside a
+    bracket (about ``8 n / accuracy``) are shuffled and put in order.
     """
-    margin = 3.0 / accuracy
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    sizes = doubles.agg(*[F.count(c).alias(c) for c in columns]).first()
+    # the sketch's error in shares, and two places of the shortest column for rounding
+    fewest = min((n for n in sizes if n), default=1)
+    margin = 3.0 / accuracy + 2.0 / fewest
     edges = [e for s in shares for e in (max(s - margin, 0.0), min(s + margin, 1.0))]
+    sketch = doubles.agg(*[F.percentile_approx(c, edges, accuracy).alias(c) for c in columns])
+    entries = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(s).alias("share"),
+            F.lit(sizes[c]).cast("long").alias("n"),
+            F.get(c, F.lit(2 * i)).alias("low"),
+            F.get(c, F.lit(2 * i + 1)).alias("high"),
+        )
+        for c in columns
+        for i, s in enumerate(shares)
+    ]
+    brackets = sketch.select(F.inline(F.array(*entries)))
     values = unpivot(df, columns).where(F.col("value").isNotNull())
-    sketch = values.groupBy("column_name").agg(
-        F.count("value").alias("n"), F.percentile_approx("value", edges, accuracy).alias("edges")
-    )
-    brackets = sketch.select(
-        "column_name", "n", "edges", F.posexplode(F.array(*[F.lit(s) for s in shares])).alias("i", "share")
-    ).select(
-        "column_name",
-        "share",
-        "n",
-        F.get("edges", 2 * F.col("i")).alias("low"),
-        F.get("edges", 2 * F.col("i") + 1).alias("high"),
-    )
-    counts = values.groupBy("column_name", "value").agg(F.count("*").alias("copies"))
-    whole = F.col("n") <= accuracy
     # Broadcast bound: one row per column and share.
-    placed = counts.join(F.broadcast(brackets), "column_name").where(whole | (F.col("value") <= F.col("high")))
-    inside = F.when(whole | (F.col("value") >= F.col("low")), F.col("value"))
+    placed = values.join(F.broadcast(brackets), "column_name").where(F.col("value") <= F.col("high"))
+    inside = F.when(F.col("value") >= F.col("low"), F.col("value"))
     steps = (
         placed.groupBy("column_name", "share", "n", inside.alias("step"))
-        .agg(F.sum("copies").alias("copies"))
+        .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn(
             "reached",
             F.sum("copies").over(

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from orderlens.functions.expressions import clamp
-from orderlens.session import ensure_checkpoint_dir, small_table
+from orderlens.session import materialize
 
 # Bound name -> column and quantile.
 BOUNDS = {
@@ -38,9 +38,6 @@ CLIPPED = {
     "processing_days": (None, "upper_processing"),
     "seller_disp_diff": ("lower_seller", "upper_seller"),
 }
-# A category table up to this many rows is held as a local table and broadcast; a larger
-# one stays distributed and is joined without a hint.
-SMALL_ENCODING = 10_000
 
 
 class NotFittedError(ValueError):
@@ -154,14 +151,10 @@ class OrderTransformer(Estimator, _Smoothing, DefaultParamsReadable, DefaultPara
 
 
 def _settle(encoding: DataFrame) -> tuple[DataFrame, float | None]:
-    """Evaluate an encoding once: local table when small, otherwise a reliable checkpoint."""
-    spark = encoding.sparkSession
-    head = encoding.limit(SMALL_ENCODING + 1).collect()
-    prior = head[0]["prior"] if head else None
-    if len(head) <= SMALL_ENCODING:
-        return small_table(spark, head, encoding.schema), prior
-    ensure_checkpoint_dir(spark)
-    return encoding.checkpoint(), prior
+    """Evaluate an encoding once, as a stored table whose size decides how it is joined."""
+    stored = materialize(encoding, "encoding")
+    row = stored.select("prior").first()
+    return stored, row["prior"] if row else None
 
 
 class OrderTransformerModel(Model, _Smoothing, MLReadable, MLWritable):
@@ -224,8 +217,7 @@ class _TransformerReader(MLReader):
         except AnalysisException as error:
             raise ValueError(f"could not find the saved transformer {path}") from error
         metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
-        encoding, _ = _settle(stored)
-        model = OrderTransformerModel(metadata["fitted"]["bounds"], encoding, metadata["fitted"]["prior"])
+        model = OrderTransformerModel(metadata["fitted"]["bounds"], stored, metadata["fitted"]["prior"])
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
         return model

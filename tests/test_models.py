@@ -77,7 +77,7 @@ def test_target_encoding(spark):
     assert values == [pytest.approx(0.2), pytest.approx(0.2), pytest.approx(0.35)]
 
 
-def test_transformer_round_trip_and_large_category_table(spark, tmp_path, monkeypatch):
+def test_transformer_round_trip_and_large_category_table(spark, tmp_path):
     data = [(f"o{i}", f"c{i % 9}", i % 2, i % 30, i % 11 - 5, i % 7, i % 5, 10.0 + i, 1.0) for i in range(200)]
     df = spark.createDataFrame(
         data,
@@ -90,8 +90,12 @@ def test_transformer_round_trip_and_large_category_table(spark, tmp_path, monkey
     loaded = transform.OrderTransformerModel.load(str(tmp_path / "t"))
     assert sorted(map(str, loaded.transform(df).collect())) == expected
     assert loaded.bounds == fitted.bounds
-    monkeypatch.setattr(transform, "SMALL_ENCODING", 3)
-    assert sorted(map(str, transform.OrderTransformer().fit(df).transform(df).collect())) == expected
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the table were too large to broadcast
+    try:
+        assert sorted(map(str, transform.OrderTransformer().fit(df).transform(df).collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     with pytest.raises(NotFittedError):
         transform.OrderTransformerModel().transform(df)
 

@@ -111,3 +111,16 @@ def test_clip_keeps_nulls_and_is_idempotent(spark):
     once = transform.clip_outliers(df, bounds)
     assert [tuple(r) for r in once.collect()] == [(None, 2.0, 5.0, -1.0), (5.0, 5.0, 5.0, 5.0)]
     assert transform.clip_outliers(once, bounds).collect() == once.collect()
+
+
+def test_quantiles_of_skewed_short_and_equal_columns_through_brackets(spark):
+    data = [(float(i % 1000), 5.0 if i % 10 else float(i), 7.0, float(i) if i < 3 else None, None) for i in range(3000)]
+    names = ["even", "skewed", "equal", "short", "none"]
+    df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in names))
+    shares = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
+    for accuracy in (100, 10_000):
+        got = {(r["column_name"], r["share"]): r["value"] for r in exact_quantiles(df, names, shares, accuracy).collect()}
+        assert {c for c, _ in got} == set(names) - {"none"}
+        for (column, share), value in got.items():
+            known = [row[names.index(column)] for row in data if row[names.index(column)] is not None]
+            assert value == pytest.approx(float(np.quantile(known, share)))
