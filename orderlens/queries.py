@@ -34,9 +34,9 @@ from orderlens.sources.tables import TableStore
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Small learner settings for the registered queries; the library defaults are larger.
+FOREST = {"numTrees": 100, "maxDepth": 5}
+# Small settings of the other learners in the registered queries; the library defaults are larger.
 QUICK_GBT = {"maxIter": 3, "maxDepth": 3}
-QUICK_RF = {"numTrees": 5, "maxDepth": 4}
 QUICK_SPACE = {
     "gbt": {"maxDepth": ("int", 2, 4), "stepSize": ("log", 0.05, 0.3), "maxIter": ("int", 2, 3)},
     "rf": {"maxDepth": ("int", 3, 5), "numTrees": ("int", 3, 5), "featureSubsetStrategy": ("share", 0.4, 0.8)},
@@ -507,7 +507,7 @@ def _prepared(spark: SparkSession, folder: str):
 
 
 def _quick(model_type: str) -> dict:
-    return QUICK_GBT if models.model_choice(model_type) == "gbt" else QUICK_RF
+    return QUICK_GBT if models.model_choice(model_type) == "gbt" else FOREST
 
 
 def _fitted(spark: SparkSession, folder: str, model_type: str):
