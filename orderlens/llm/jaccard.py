@@ -30,6 +30,15 @@ SHARED = 3
 # are hashed sums over all texts, 4 MB whatever the input.
 COUNTERS = 1 << 20
 SEGMENT = 1 << 16
+# Bytes of text that are hashed at a time, few enough for the arrays to stay in a core's cache.
+PIECE = 1 << 19
+
+
+def by_owner(order: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """``order`` sorted by owner, otherwise as it was."""
+    owner = owner[order]
+    small = len(owner) == 0 or owner.max() < 1 << 16  # numpy sorts 16-bit values by radix
+    return order[np.argsort(owner.astype(np.uint16) if small else owner, kind="stable")]
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -46,7 +55,7 @@ def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     end = np.concatenate([at + SHINGLE, firsts[1:][short]])
     owner = np.concatenate([text[at], short])
     hashes = slice_hashes(words, begin, end)
-    order = np.lexsort((hashes, owner))
+    order = by_owner(np.argsort(hashes), owner)
     hashes, owner = hashes[order], owner[order]
     new = np.ones(len(hashes), dtype=bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
@@ -67,7 +76,7 @@ def token_counters(docs: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, dtype=np.int64)
-        for batch in pieces(batches):
+        for batch in pieces(batches, PIECE):
             counts += np.bincount((shingle_sets(batch.column(1))[1] % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         parts = counts.reshape(-1, SEGMENT)
         yield pa.RecordBatch.from_arrays(
@@ -88,7 +97,7 @@ def token_counters(docs: DataFrame) -> np.ndarray:
     # each reducer adds up what it gets, so none holds more than the counters
     summed = found.repartition(COUNTERS // SEGMENT, "segment").mapInArrow(add, schema)
     out = np.zeros(COUNTERS, dtype=np.int64)
-    for row in summed.toLocalIterator():
+    for row in summed.collect():  # one row per segment: 8 MB whatever the input
         part = np.frombuffer(row["counts"], dtype=np.int64)
         out[row["segment"] * SEGMENT : (row["segment"] + 1) * SEGMENT] += part
     return out
@@ -105,21 +114,23 @@ def needed(n: Column) -> Column:
 
 def class_tokens(docs: DataFrame) -> DataFrame:
     """Stored (token, class, n): tokens taking part that more than one class has."""
-    counters = docs.sparkSession.sparkContext.broadcast(token_counters(docs).astype(np.int32))
+    counters = docs.sparkSession.sparkContext.broadcast(np.minimum(token_counters(docs), np.iinfo(np.int32).max).astype(np.int32))
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, PIECE):
             owner, hashes = shingle_sets(batch.column(1))
             sizes, names = class_names(owner, hashes, batch.num_rows)
             counts = counters.value[(hashes % np.uint64(COUNTERS)).astype(np.int64)]
-            order = np.lexsort((hashes, counts, owner))
+            # by count, then hash: the hashes of an owner are in order already
+            order = np.sort(counts.astype(np.int64) << 32 | np.arange(len(counts))) & 0xFFFFFFFF
+            order = by_owner(order, owner)
             rank = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             keep = rank < (sizes - (PERCENT * sizes + 99) // 100 + SHARED)[owner]  # owner is sorted either way
             at, own = order[keep], owner[keep]
             cells = [hashes[at].view(np.int64), names[own], sizes[own].astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["token", "class", "n"])
 
-    rows = docs.select("d", "text").mapInArrow(rarest, "token long, class long, n int")
+    rows = materialize(docs.select("d", "text").mapInArrow(rarest, "token long, class long, n int"), "rarest")
     shared = rows.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
     shared = materialize(shared.select("token"), "tokens")
     found = materialize(rows.join(shared, "token").distinct(), "class-tokens")
@@ -218,7 +229,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = keyed(docs)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, PIECE):
             sizes, names = class_names(*shingle_sets(batch.column(1)), batch.num_rows)
             cells = [batch.column(0), batch.column(2), batch.column(3), pa.array(sizes.astype(np.int64)), pa.array(names)]
             yield pa.RecordBatch.from_arrays(cells, ["d", "key", "doc_id", "n_shingles", "class"])
@@ -229,7 +240,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tokens = class_tokens(rows)
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, PIECE):
             owner, hashes = shingle_sets(batch.column(1))
             ends = np.searchsorted(owner, np.arange(batch.num_rows + 1))
             cells = [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
