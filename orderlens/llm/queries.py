@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import bwt, decontaminate, jaccard, language_model, packing, repeats, secrets, tokens, topk, toxicity
+from orderlens.llm import (
+    bwt,
+    decontaminate,
+    jaccard,
+    language_model,
+    manifest,
+    packing,
+    repeats,
+    secrets,
+    sql,
+    tokens,
+    topk,
+    toxicity,
+)
 from orderlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,5 +101,36 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), end_id=0, capacity=1024, **vocabulary_files())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_top_k, op3_language_model, op4_decontamination, op5_substring_dedup, op6_secrets, op7_jaccard, op8_toxicity, op9_suffix_dedup, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether the row as tampered with still leads to the root."""
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(hit, F.translate("text", string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.col("text"))
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = manifest.row_hash([text if c == "text" else F.col(c) for c in columns])
+    found = manifest.merkle_manifest(
+        table(spark, folder, "documents"), columns, "lang", "doc_id", carried={"tampered": F.when(hit, tampered)}
+    )
+    folded = manifest.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_top_k,
+        op3_language_model,
+        op4_decontamination,
+        op5_substring_dedup,
+        op6_secrets,
+        op7_jaccard,
+        op8_toxicity,
+        op9_suffix_dedup,
+        op10_packing,
+        op11_manifest,
+    )
+}
+ORACLE_SQL: dict[str, str] = {"op11_manifest": sql.manifest()}
