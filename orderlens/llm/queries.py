@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import (
     bwt,
+    conversations,
     decontaminate,
     jaccard,
     language_model,
@@ -117,6 +118,23 @@ def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+
+def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Damage, and the cheapest repair, of every conversation."""
+    given = table(spark, folder, "conversations")
+    repaired = conversations.repair(conversations.damaged(given))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = repaired.report.drop("conv_id").join(conversations.digests(repaired.turns), "c", "left")
+    key = conversations.key(F.col("conv_id"))
+    every = given.select(F.col("conv_id").cast("long").alias("conv_id"), key.alias("c")).distinct().join(found, "c", "left")
+    return every.select(
+        "conv_id",
+        *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -131,6 +149,7 @@ QUERIES: dict[str, Query] = {
         op9_suffix_dedup,
         op10_packing,
         op11_manifest,
+        op12_conversations,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op11_manifest": sql.manifest()}
