@@ -14,6 +14,7 @@ from orderlens.llm import (
     decontaminate,
     jaccard,
     language_model,
+    line_quality,
     manifest,
     packing,
     repeats,
@@ -135,6 +136,12 @@ def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+
+def op13_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learnt from the labelled rows that are not held out."""
+    return line_quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), threshold=0.3)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -150,6 +157,7 @@ QUERIES: dict[str, Query] = {
         op10_packing,
         op11_manifest,
         op12_conversations,
+        op13_quality,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op11_manifest": sql.manifest()}
