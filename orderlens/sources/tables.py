@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens import schemas
@@ -50,17 +50,18 @@ class TableStore:
     def append(self, df: DataFrame, table: str, enforce: bool = True) -> int:
         """Append rows by column name and return how many; a broken table rule stops the load.
 
-        Rows to be checked are staged first, so the rules read parquet, a few columns at a
-        time, instead of parsing the source again for each of them.
+        Rows are staged first, so the rules read parquet, a few columns at a time, instead of
+        parsing the source again for each of them, and the count is read from file footers.  (An
+        ``Observation`` would count in passing, but stays in the session, where models whose
+        training summary holds the session can't be sent to tasks any more.)
         """
         spec = schemas.TABLES[table]
-        rows = _conform(df, spec)
+        rows = materialize(_conform(df, spec), f"staged-{table}")
         if enforce:
-            rows = materialize(rows, f"staged-{table}")
             check_append(rows, spec, self.scan_or_empty)
-        written = Observation()
-        rows.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(self.path(table))
-        return written.get["n"]
+        n = rows.count()
+        rows.write.mode("append").parquet(self.path(table))
+        return n
 
 
 def append_table(df: DataFrame, table: str, database: str | None = None, enforce: bool = True) -> None:

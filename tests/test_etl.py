@@ -169,3 +169,19 @@ def test_times_of_one_digit_parse_and_trailing_breaks_do_not(spark):
     rows = [("2018-1-1 1:1:1",), ("2018-01-01 01:01:01\n",), ("2018-02-30 00:00:00",), ("2018-01-01",)]
     got = spark.createDataFrame(rows, "t string").select(expressions.parse_timestamp(F.col("t")).alias("t")).collect()
     assert [str(r["t"]) for r in got] == ["2018-01-01 01:01:01", "None", "None", "None"]
+
+
+def test_an_append_leaves_other_models_usable(spark, tmp_path):
+    """A stock pipeline, whose forest keeps its training summary, scores after a load as before."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    spark = spark.newSession()  # other tests may observe in theirs
+    rows = spark.range(60).selectExpr("cast(id % 7 as double) a", "cast(id % 2 as int) y")
+    stages = [VectorAssembler(inputCols=["a"], outputCol="v"), RandomForestClassifier(numTrees=2, featuresCol="v", labelCol="y")]
+    store = tables.TableStore(spark, str(tmp_path / "store"))
+    names = spark.createDataFrame([("casa", "home"), ("arte", "art")], list(schemas.CATEGORY_NAMES.columns))
+    for enforce in (True, False):
+        assert store.append(names if enforce else names.limit(0), "category_names", enforce) == (2 if enforce else 0)
+        assert Pipeline(stages=stages).fit(rows).transform(rows).select("probability").collect()
