@@ -10,26 +10,21 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.operators import evaluate
+from orderlens.operators import boosting, evaluate
 from orderlens.operators.sampling import SEED, stratified_folds
 from orderlens.operators.transform import NotFittedError
-from orderlens.session import ensure_checkpoint_dir, small_table
+from orderlens.session import ensure_checkpoint_dir, materialize, small_table
 
 LABEL, WEIGHT, FEATURES = "bad_score", "_weight", "_features"
 NOT_FEATURES = ("order_id", "review_score", "bad_score", "split", "fold")
 ALIASES = {"xgb": "gbt", "gbt": "gbt", "xgboost": "gbt", "rf": "rf", "random forest": "rf"}
-MODEL_CLASSES = {"gbt": GBTClassificationModel, "rf": RandomForestClassificationModel}
+MODEL_CLASSES = {"gbt": boosting.BoostedModel, "rf": RandomForestClassificationModel}
 
 
 def model_choice(model_type: str) -> str:
@@ -61,15 +56,10 @@ def class_weights(df: DataFrame, model_type: str) -> dict[int, float]:
     return {0: (n0 + n1) / (2 * n0), 1: (n0 + n1) / (2 * n1)}
 
 
-def make_classifier(model_type: str, params: dict | None = None, seed: int = SEED):
-    """An unfitted classifier.  Without parameters: the settings used for inspection."""
-    chosen = model_choice(model_type)
+def make_forest(params: dict | None = None, seed: int = SEED) -> RandomForestClassifier:
+    """An unfitted forest.  Without parameters: the settings used for inspection."""
     columns = {"featuresCol": FEATURES, "labelCol": LABEL, "weightCol": WEIGHT, "seed": seed}
-    if chosen == "gbt":
-        defaults = {"maxIter": 100, "maxDepth": 6, "stepSize": 0.3}
-        return GBTClassifier(**columns, **{**defaults, **(params or {})})
-    defaults = {"numTrees": 100, "maxDepth": 5}
-    return RandomForestClassifier(**columns, **{**defaults, **(params or {})})
+    return RandomForestClassifier(**columns, **{"numTrees": 100, "maxDepth": 5, **(params or {})})
 
 
 def assemble(df: DataFrame, features: list[str]) -> DataFrame:
@@ -86,17 +76,32 @@ def train(
 ):
     """Fit one weighted classifier on the rows.
 
-    The copy leaves the training summary behind, which would keep the training rows alive
-    and travel with every scoring task.
+    The copy of a forest leaves the training summary behind, which would keep the training rows
+    alive and travel with every scoring task.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     features = features or feature_label_split(df)[0]
+    if model_choice(model_type) == "gbt":
+        setting = boosting.Setting.of(params)
+        rows = boosting.bin_rows(df, features, LABEL)
+        fit = boosting.Fit(setting, tuple(range(len(features))), positive_weight(weights or class_weights(df, "gbt")), seed=seed)
+        try:
+            boosting.fit_together(rows, [fit], df.sparkSession)
+        finally:
+            rows.release()
+        return boosting.BoostedModel.of(rows, fit)
+    ensure_checkpoint_dir(df.sparkSession)
     rows = assemble(with_weights(df, model_type, weights), features)
-    return make_classifier(model_type, params, seed).fit(rows.select(LABEL, WEIGHT, FEATURES)).copy()
+    return make_forest(params, seed).fit(rows.select(LABEL, WEIGHT, FEATURES)).copy()
+
+
+def positive_weight(weights: dict[int, float]) -> float:
+    return weights[1] / weights[0]
 
 
 def predict(df: DataFrame, model, features: list[str]) -> DataFrame:
     """Add ``prediction`` (0/1 at 0.5) and ``probability`` (of the positive class)."""
+    if isinstance(model, boosting.BoostedModel):
+        return model.predict(df, features)
     scored = model.transform(assemble(df, features))
     return scored.select(
         *df.columns,
@@ -114,8 +119,7 @@ def feature_importances(model, features: list[str], spark: SparkSession) -> Data
 # ---------------------------------------------------------------------------
 # cross-validation and search
 
-# Ranges of the search.  Boosted-tree settings without a counterpart here
-# (loss-scale gain, hessian weight) become minimum gain and minimum rows of a node.
+# Ranges of the search.
 SEARCH_SPACE = {
     "gbt": {
         "maxDepth": ("int", 3, 7),
@@ -123,8 +127,8 @@ SEARCH_SPACE = {
         "maxIter": ("int", 200, 800),
         "subsamplingRate": ("float", 0.7, 1.0),
         "featureSubsetStrategy": ("share", 0.6, 1.0),
-        "minInstancesPerNode": ("int", 2, 15),
-        "minInfoGain": ("float", 0.0, 0.01),
+        "minChildWeight": ("int", 2, 15),
+        "gamma": ("float", 0.0, 5.0),
     },
     "rf": {
         "maxDepth": ("int", 5, 15),
@@ -135,8 +139,18 @@ SEARCH_SPACE = {
 }
 
 
-def search_space(model_type: str, n_trials: int, seed: int = SEED, space: dict | None = None) -> list[dict]:
-    """Seeded parameter sets drawn from the ranges; the same seed gives the same list."""
+ROUNDS = "maxIter"
+ROUNDS_PER_FIT = 5
+
+
+def search_space(
+    model_type: str, n_trials: int, seed: int = SEED, space: dict | None = None, rounds_per_fit: int = ROUNDS_PER_FIT
+) -> list[dict]:
+    """Seeded parameter sets drawn from the ranges; the same seed gives the same list.
+
+    Boosted trees: ``rounds_per_fit`` trials in a row differ in the number of rounds only, as the
+    first trees of a fit are the fit with fewer rounds.
+    """
     ranges = space or SEARCH_SPACE[model_choice(model_type)]
     rng = random.Random(seed)
 
@@ -148,7 +162,13 @@ def search_space(model_type: str, n_trials: int, seed: int = SEED, space: dict |
         value = rng.uniform(low, high)
         return f"{value:.4f}" if kind == "share" else value
 
-    return [{name: draw(*how) for name, how in ranges.items()} for _ in range(n_trials)]
+    trials: list[dict] = []
+    for i in range(n_trials):
+        drawn = {name: draw(*how) for name, how in ranges.items()}
+        if ROUNDS in ranges and i % rounds_per_fit:
+            drawn = {**trials[-1], ROUNDS: drawn[ROUNDS]}
+        trials.append(drawn)
+    return trials
 
 
 def fold_f1(
@@ -192,30 +212,79 @@ def tune(
 ) -> dict:
     """Search for the best mean F1 over stratified folds.
 
-    Returns best_params, best_score and trials (trial, params, fold, f1).  The folded
-    rows are kept in executor memory and disk because every trial and fold reads them.
+    Returns best_params, best_score, trials (trial, params, fold, f1) and, for boosted trees, the
+    number of passes over the rows.  Boosted trees of all trials and folds are made together
+    (:mod:`orderlens.operators.boosting`).  Forests are fitted one by one; their folded rows are kept in
+    executor memory and disk because every trial and fold reads them.
     """
-    n_trials = n_trials or {"gbt": 100, "rf": 50}[model_choice(model_type)]
+    chosen = model_choice(model_type)
+    n_trials = n_trials or {"gbt": 100, "rf": 50}[chosen]
     features = features or feature_label_split(df)[0]
     weights = class_weights(df, model_type)
-    rows = stratified_folds(df, n_folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
     candidates = search_space(model_type, n_trials, seed, space)
     jobs = [(trial, fold) for trial in range(n_trials) for fold in range(n_folds)]
-
-    def run(job):
-        trial, fold = job
-        return fold_f1(rows, fold, model_type, features, candidates[trial], seed, weights, prepare)[0]
-
-    try:
-        with ThreadPool(parallelism) as pool:
-            scores = pool.map(run, jobs, chunksize=1)
-    finally:
-        rows.unpersist()
+    passes = None
+    if chosen == "gbt":
+        folded = materialize(stratified_folds(df, n_folds, seed), "folds")
+        found, passes = _boosted_scores(folded, candidates, features, n_folds, seed, positive_weight(weights), prepare)
+        scores = [found[job] for job in jobs]
+    else:
+        rows = stratified_folds(df, n_folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def run(job):
+            trial, fold = job
+            return fold_f1(rows, fold, model_type, features, candidates[trial], seed, weights, prepare)[0]
+
+        try:
+            with ThreadPool(parallelism) as pool:
+                scores = pool.map(run, jobs, chunksize=1)
+        finally:
+            rows.unpersist()
     means = [sum(scores[t * n_folds : (t + 1) * n_folds]) / n_folds for t in range(n_trials)]
     best = max(range(n_trials), key=lambda t: (means[t], -t))
     table = [(t, json.dumps(candidates[t], sort_keys=True), f, float(s)) for (t, f), s in zip(jobs, scores)]
     trials = small_table(df.sparkSession, table, "trial int, params string, fold int, f1 double")
-    return {"best_params": candidates[best], "best_score": means[best], "trials": trials}
+    return {"best_params": candidates[best], "best_score": means[best], "trials": trials, "passes": passes}
+
+
+def _boosted_scores(
+    folded: DataFrame, candidates: list[dict], features: list[str], n_folds: int, seed: int, weight: float,
+    prepare: Callable | None,
+) -> tuple[dict[tuple[int, int], float], int]:
+    """F1 by (trial, fold) and the passes made.  Trials that differ in rounds only share a fit.
+
+    All folds are one table of bin numbers; with ``prepare`` each fold has its own.
+    """
+    groups: dict[str, list[int]] = {}
+    for trial, params in enumerate(candidates):
+        same = json.dumps({k: v for k, v in params.items() if k != ROUNDS}, sort_keys=True)
+        groups.setdefault(same, []).append(trial)
+    settings = {trial: boosting.Setting.of(params) for trial, params in enumerate(candidates)}
+    columns = tuple(range(len(features)))
+    scores, passes = {}, 0
+    for part in [range(n_folds)] if prepare is None else [[fold] for fold in range(n_folds)]:
+        rows = folded
+        if prepare is not None:
+            fold = part[0]
+            fit_rows, held_out = prepare(folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold))
+            rows = fit_rows.unionByName(held_out)
+        binned = boosting.bin_rows(rows, features, LABEL, "fold")
+        fits = {
+            (trials[0], fold): boosting.Fit(
+                max((settings[t] for t in trials), key=lambda s: s.rounds), columns, weight, fold, seed
+            )
+            for trials in groups.values()
+            for fold in part
+        }
+        try:
+            passes += boosting.fit_together(binned, list(fits.values()), folded.sparkSession)
+        finally:
+            binned.release()
+        for trials in groups.values():
+            for trial in trials:
+                for fold in part:
+                    scores[trial, fold] = fits[trials[0], fold].f1(settings[trial].rounds)
+    return scores, passes
 
 
 class RiskModel:
@@ -263,7 +332,10 @@ class RiskModel:
         self._check_fitted()
         path = artifact_path(path)
         spark = SparkSession.active()
-        self.best_model_.write().overwrite().save(f"{path}/model")
+        if self.model_type == "gbt":
+            self.best_model_.save(f"{path}/model")
+        else:
+            self.best_model_.write().overwrite().save(f"{path}/model")
         settings = json.dumps(
             {"type": self.model_type, "seed": self.seed, "params": self.best_params_,
              "score": self.best_score_, "features": self.features_}

@@ -35,12 +35,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 FOREST = {"numTrees": 100, "maxDepth": 5}
-# Small settings of the other learners in the registered queries; the library defaults are larger.
-QUICK_GBT = {"maxIter": 3, "maxDepth": 3}
-QUICK_SPACE = {
-    "gbt": {"maxDepth": ("int", 2, 4), "stepSize": ("log", 0.05, 0.3), "maxIter": ("int", 2, 3)},
-    "rf": {"maxDepth": ("int", 3, 5), "numTrees": ("int", 3, 5), "featureSubsetStrategy": ("share", 0.4, 0.8)},
+BOOSTED = {"maxIter": 12, "maxDepth": 4}
+ELIMINATION = {"maxIter": 6, "maxDepth": 3}
+# Ranges of the registered searches: fewer and shallower trees than the library's own ranges.
+SPACE = {
+    "gbt": models.SEARCH_SPACE["gbt"] | {"maxDepth": ("int", 3, 5), "stepSize": ("log", 0.1, 0.3), "maxIter": ("int", 5, 30)},
+    "rf": {"maxDepth": ("int", 3, 5), "numTrees": ("int", 10, 20), "featureSubsetStrategy": ("share", 0.4, 0.8)},
 }
+TRIALS = {"gbt": 20, "rf": 3}
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -506,15 +508,15 @@ def _prepared(spark: SparkSession, folder: str):
     return training.prepared(star_schema.relations(spark, folder))
 
 
-def _quick(model_type: str) -> dict:
-    return QUICK_GBT if models.model_choice(model_type) == "gbt" else FOREST
+def _settings(model_type: str) -> dict:
+    return BOOSTED if models.model_choice(model_type) == "gbt" else FOREST
 
 
 def _fitted(spark: SparkSession, folder: str, model_type: str):
-    """(train rows, test rows, features, model) with quick settings."""
+    """(train rows, test rows, features, model)."""
     _, train, test = _prepared(spark, folder)
     features, _label = models.feature_label_split(train)
-    return train, test, features, models.train(train, model_type, features, _quick(model_type))
+    return train, test, features, models.train(train, model_type, features, _settings(model_type))
 
 
 @query("feature_label_split")
@@ -547,10 +549,9 @@ def _(spark, folder):
 
 @query("select_features")
 def _(spark, folder):
-    """Elimination down from all features, all training rows; stumps on two folds."""
+    """Elimination down from all features on five folds of the training rows."""
     _, train, _test = _prepared(spark, folder)
-    selector = selection.Selector(n_folds=2, params={"maxIter": 1, "maxDepth": 2}, parallelism=4)
-    return selector.fit(train).cv_results
+    return selection.Selector(n_folds=5, params=ELIMINATION).fit(train).cv_results
 
 
 @query("apply_selection")
@@ -559,25 +560,25 @@ def _(spark, folder):
     return selection.apply_selection(_cleaned(spark, folder), kept)
 
 
+def _searched(spark: SparkSession, folder: str, model_type: str, n_trials: int) -> dict:
+    _, train, _test = _prepared(spark, folder)
+    chosen = models.model_choice(model_type)
+    kept = selection.apply_selection(train, scoring.SCORING_COLUMNS)
+    return models.tune(kept, chosen, scoring.SCORING_COLUMNS, n_trials, 5, space=SPACE[chosen], parallelism=4)
+
+
 @query("search_space")
 def _(spark, folder):
-    """Sixteen drawn trials, each with the cleaned orders that have as many items as its number."""
-    sizes = _cleaned(spark, folder).groupBy("num_items").agg(F.count("*").alias("n_rows"))
-    drawn = [(i, str(p)) for i, p in enumerate(models.search_space("xgb", 16))]
-    return small_table(spark, drawn, "num_items int, params string").join(sizes, "num_items", "left")
+    """Ten drawn trials, each with its mean F1 over the folds of the training rows."""
+    trials = _searched(spark, folder, "xgb", 10)["trials"]
+    return trials.groupBy("trial", "params").agg(F.avg("f1").alias("mean_f1"))
 
 
 def _tune(name: str, model_type: str) -> None:
-    def build(spark, folder):
-        _, train, _test = _prepared(spark, folder)
-        kept = selection.apply_selection(train, scoring.SCORING_COLUMNS)
-        space = QUICK_SPACE[models.model_choice(model_type)]
-        return models.tune(kept, model_type, scoring.SCORING_COLUMNS, 2, 2, space=space, parallelism=4)["trials"]
-
-    query(name)(build)
+    query(name)(lambda spark, folder: _searched(spark, folder, model_type, TRIALS[model_type])["trials"])
 
 
-_tune("tune", "xgb")
+_tune("tune", "gbt")
 _tune("tune_forest", "rf")
 
 
@@ -585,8 +586,8 @@ _tune("tune_forest", "rf")
 def _(spark, folder):
     """Tuned on the training part, refitted on the test part, predictions of the latter."""
     _, train, test = _prepared(spark, folder)
-    model = models.RiskModel("rf", n_trials=1)
-    model.tune_and_fit(train, scoring.SCORING_COLUMNS, n_folds=2, space=QUICK_SPACE["rf"])
+    model = models.RiskModel("xgb", n_trials=5)
+    model.tune_and_fit(train, scoring.SCORING_COLUMNS, n_folds=5, space=SPACE["gbt"])
     model.fit(test)
     return model.predict(test).select("order_id", "bad_score", "prediction")
 
@@ -610,7 +611,7 @@ def _(spark, folder):
     features = scoring.SCORING_COLUMNS
     out = None
     for name in ("XGB", "rf"):
-        model = models.train(train, name, features, _quick(name))
+        model = models.train(train, name, features, _settings(name))
         row = evaluate.f1(models.predict(test, model, features)).select(
             F.lit(name).alias("asked"), F.lit(models.model_choice(name)).alias("model_type"), "f1"
         )
@@ -656,7 +657,7 @@ def _(spark, folder):
 @query("score_orders")
 def _(spark, folder):
     fitted, train, _test = _prepared(spark, folder)
-    model = models.train(train, "xgb", scoring.SCORING_COLUMNS, QUICK_GBT)
+    model = models.train(train, "xgb", scoring.SCORING_COLUMNS, BOOSTED)
     inputs = scoring.scoring_features(_order_inputs(spark, folder))
     return scoring.score_orders(inputs, fitted, model).select("order_id", "bad_score", "probability")
 
