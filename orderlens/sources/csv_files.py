@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from orderlens import schemas
 from orderlens.operators import cleanup
+from orderlens.sources.quoted_records import quoted_records
 
 # Field contents that count as missing when a CSV column is read.
 MISSING = [
@@ -77,8 +78,9 @@ def csv_scan(
 
     ``columns`` names and types the result.  With ``infer`` it only overrides the types
     found by one more pass over the file.  All files of the path must have the same header in
-    the same order, and every row as many fields as the header; anything else fails.  Fields that hold line breaks make a file
-    unsplittable, so that reading mode is only used where it is asked for.
+    the same order, and every row as many fields as the header; anything else fails.  Fields that hold
+    line breaks take two scans (:mod:`orderlens.sources.quoted_records`), so they are only looked for where
+    that is asked for.  Splits are read by different tasks either way.
     """
 
     def reader():
@@ -92,13 +94,14 @@ def csv_scan(
             .option("columnPruning", False)
         )
 
-    raw = reader().csv(path)
+    raw = quoted_records(spark, path) if line_breaks_in_fields else reader().csv(path)
     by_name = {name.lstrip("\ufeff"): name for name in raw.columns}
     wanted = dict(columns or {})
     absent = [c for c in wanted if c not in by_name]
     if absent:
         raise ValueError(f"{path} lacks the columns {absent}")
     if infer or not wanted:
+        # types are found by Spark's own reader, which reads a file with line breaks in fields by one task
         found = reader().option("inferSchema", infer).csv(path).schema
         numbers = {n: f.dataType for n, f in zip(by_name, found) if isinstance(f.dataType, T.NumericType)}
         wanted = {n: wanted.get(n, numbers.get(n, T.StringType())) for n in by_name}
