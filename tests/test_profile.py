@@ -124,3 +124,34 @@ def test_quantiles_of_skewed_short_and_equal_columns_through_brackets(spark):
         for (column, share), value in got.items():
             known = [row[names.index(column)] for row in data if row[names.index(column)] is not None]
             assert value == pytest.approx(float(np.quantile(known, share)))
+
+
+def test_quantiles_are_refined_until_few_values_are_left(spark, monkeypatch):
+    """With brackets of at most three values, whatever the spread, hot values and the sketch's error."""
+    import numpy as np
+
+    from orderlens.functions import quantiles
+
+    rng = np.random.default_rng(8)
+    n = 4000
+    data = {
+        "even": rng.random(n),
+        "tails": np.exp(rng.normal(0, 60, n)) * rng.choice([-1, 1], n),
+        "hot": np.where(rng.random(n) < 0.4, 7.0, rng.integers(0, 30, n)),
+        "two": np.where(np.arange(n) < n // 2, -1.0, 1.0),
+    }
+    rows = [tuple(None if (i + k) % 50 == 0 and k else float(v[i]) for k, v in enumerate(data.values())) for i in range(n)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in data)).withColumn("none", F.lit(None).cast("double"))
+    shares = [0.0, 0.01, 0.25, 0.5, 0.3333, 0.99, 1.0]
+    brought = []
+    plain = quantiles._row
+    monkeypatch.setattr(quantiles, "MOST_VALUES", 3)
+    monkeypatch.setattr(quantiles, "_row", lambda d, a: brought.append(len(a)) or plain(d, a))
+    for accuracy in (100, 30):
+        got = {(r[0], r[1]): r[2] for r in quantiles.exact_quantiles(df, [*data, "none"], shares, accuracy).collect()}
+        assert len(got) == 4 * len(shares)
+        for k, (c, _) in enumerate(data.items()):
+            kept = [r[k] for r in rows if r[k] is not None]
+            for s in shares:
+                assert got[c, s] == pytest.approx(float(np.quantile(kept, s)), rel=1e-12, abs=1e-12)
+    assert len(brought) < 40  # passes over the rows
