@@ -6,10 +6,10 @@ fixed number of rows whatever the input size.
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,17 +142,43 @@ def tail_score_mix(df: DataFrame, strict: dict[str, str] | None = None) -> DataF
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns except the score.
 
-    The sums run on the executors; only the matrix (columns x columns) reaches the driver.
-    Rows must be complete, as cleaned orders are: a null fails rather than losing its row.
+    A pair uses the rows in which both have a value.  The co-moments of all pairs about the column means are
+    matrix products of a batch's values and of what is present; tasks hand on one set of them each, which are
+    summed by place, so only the matrices (columns x columns) reach the driver.  A column that does not
+    vary has no correlation but with itself, and one without values none at all.
     """
     if columns is None:
         skipped = ("order_id", "review_score")
         columns = [c for c, t in df.dtypes if c not in skipped and (t in ("int", "bigint", "double") or t.startswith("decimal"))]
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    vectors = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="error").transform(numeric)
-    matrix = Correlation.corr(vectors.select("features"), "features").first()[0].toArray()
-    known = [[None if math.isnan(v) else float(v) for v in line] for line in matrix]
-    rows = [(a, b, known[i][j]) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    center = np.array([v or 0.0 for v in numeric.agg(*[F.avg(c) for c in columns]).first()])
+    width = len(columns)
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, width, width))
+        for batch in batches:
+            x = np.array([c.to_numpy(zero_copy_only=False) for c in batch.columns], dtype=np.float64)
+            there = np.array([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns], dtype=np.float64)
+            x = np.where(there > 0, x - center[:, None], 0.0)
+            total += there @ there.T, x @ there.T, x**2 @ there.T, x @ x.T
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], ["sums"])
+
+    parts = numeric.mapInArrow(moments, "sums array<double>").select(F.posexplode("sums").alias("place", "value"))
+    summed = parts.groupBy("place").agg(F.sum("value").alias("value")).collect()  # 4 x columns x columns numbers
+    flat = np.zeros(4 * width * width)
+    for row in summed:
+        flat[row["place"]] = row["value"]
+    n, own, square, cross = flat.reshape(4, width, width)
+    spread = n * square - own**2  # of the row's column, over the rows that the pair uses
+    spread[spread <= 1e-12 * n * square] = 0.0
+    with np.errstate(divide="ignore", invalid="ignore"):
+        matrix = (n * cross - own * own.T) / np.sqrt(spread * spread.T)
+    known = [[float(v) if np.isfinite(v) else None for v in line] for line in matrix]
+    rows = [
+        (a, b, (1.0 if n[i, i] else None) if i == j else known[i][j])
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+    ]
     return small_table(df.sparkSession, rows, "column_a string, column_b string, correlation double")
 
 

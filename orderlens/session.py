@@ -48,11 +48,15 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
     In this order: the setting ``spark.checkpoint.dir``, the folder given to
-    ``SparkContext.setCheckpointDir``, a part of the session's table storage.
+    ``SparkContext.setCheckpointDir``; on a local master, where all executors share its disk, a
+    part of the session's table storage.  A cluster without either setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} reach")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 

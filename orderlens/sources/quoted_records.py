@@ -49,27 +49,32 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
         "start",
         (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("inside"),
         F.max("header").over(whole).alias("header"),
+        (F.sum("quotes").over(whole) % 2 == 1).alias("unclosed"),
     )
     splits = materialize(splits, "csv-splits")
-    names = _header(splits, path)
+    plain = F.regexp_replace(F.regexp_replace("header", "^\ufeff", ""), "\r$", "")
+    crossed = F.bool_or(F.col("inside") | F.col("unclosed"))
+    least, most, crossed = splits.agg(F.min(plain), F.max(plain), crossed).first()
+    names = _names(least, most, path)
     known = splits.select("path", "start", "inside", F.coalesce(F.col("header").endswith("\r"), F.lit(False)).alias("cr"))
     # Broadcast bound: about a hundred bytes for each split of the input.  Lines must stay in their order.
     pieces = lines.join(F.broadcast(known), ["path", "start"]).select("path", "start", "inside", "cr", "quotes", "value")
     pieces = pieces.mapInArrow(join_lines, PIECES)
-    records = pieces.where(F.col("kind") == WHOLE).select("value").unionByName(_crossing(pieces))
+    records = pieces.where(F.col("kind") == WHOLE).select("value")
+    if crossed:  # else no field lies across a border, and the pieces need not be looked for
+        records = records.unionByName(_crossing(pieces))
     fields = ", ".join(f"c{i} string" for i in range(len(names)))
     parsed = records.where("value <> ''").select(F.from_csv("value", fields, OPTIONS).alias("r"))
     return parsed.select(*[F.col(f"r.c{i}").alias(name) for i, name in enumerate(names)])
 
 
-def _header(splits: DataFrame, path: str) -> list[str]:
-    plain = F.regexp_replace(F.regexp_replace("header", "^﻿", ""), "\r$", "")
-    headers = [r[0] for r in splits.where("start = 0").select(plain.alias("h")).distinct().limit(2).collect()]
-    if len(headers) != 1:
-        raise ValueError(f"the files of {path} differ in their headers" if headers else f"{path} holds no header")
-    if headers[0].count('"') % 2:
+def _names(least: str | None, most: str | None, path: str) -> list[str]:
+    """The columns of the least and greatest header of all files."""
+    if least is None or least != most:
+        raise ValueError(f"{path} holds no header" if least is None else f"the files of {path} differ in their headers")
+    if least.count('"') % 2:
         raise ValueError(f"the header of {path} is longer than a line")
-    return next(csv.reader([headers[0]]))
+    return next(csv.reader([least]))
 
 
 def join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

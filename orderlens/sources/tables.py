@@ -38,8 +38,9 @@ class TableStore:
     """Parquet tables below one folder of a shared file system.
 
     A load writes folders of its own; they become part of the tables when a manifest that names them
-    is published, all tables of a load at once.  Beside the rows of a load lie its primary keys,
-    in buckets by hash, so a later append reads the buckets of its own keys only.
+    is published, all tables of a load at once.  Beside the rows of a checked load lie its primary
+    keys, in buckets by hash, so a later append reads the buckets of its own keys only; of a load that
+    was not checked it reads the key columns.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -108,8 +109,8 @@ class Load:
         name = load_id or uuid.uuid4().hex
         # a folder of a failed try under the same id is not overwritten but left to itself
         name_of_try = f"{name}-{uuid.uuid4().hex[:8]}"
-        path, keys_path = f"{self.store.path(table)}/{name_of_try}", f"{self.store.keys_path(table)}/load={name_of_try}"
-        self.written += [path, keys_path]
+        path, keys_path = f"{self.store.path(table)}/{name_of_try}", None
+        self.written.append(path)
         _conform(df, spec).write.parquet(path)
         rows = self.spark.read.schema(spec.schema).parquet(path)
         n = rows.count()
@@ -121,7 +122,9 @@ class Load:
         buckets = LEAST_BUCKETS
         while buckets * KEYS_OF_A_BUCKET < n:
             buckets *= 2
-        if spec.primary_key:
+        if enforce and spec.primary_key:
+            keys_path = f"{self.store.keys_path(table)}/load={name_of_try}"
+            self.written.append(keys_path)
             keys = rows.select(*spec.primary_key).dropna()
             keys = keys.withColumn("bucket", _bucket(list(spec.primary_key), buckets))
             keys.repartition("bucket").sortWithinPartitions("bucket").write.partitionBy("bucket").parquet(keys_path)
@@ -136,6 +139,10 @@ class Load:
         fields = T.StructType([spec.schema[c] for c in keys])
         loads = [x for x in self.state.get(table, []) if x["rows"]]
         found = small_table(self.spark, [], fields)
+        plain = [x["path"] for x in loads if x["keys"] is None]
+        if plain:
+            found = self.spark.read.schema(spec.schema).parquet(*plain).select(*keys)
+        loads = [x for x in loads if x["keys"] is not None]
         if not loads:
             return found
         # numbers of buckets are powers of two: the place among the most gives the place among fewer

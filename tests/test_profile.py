@@ -155,3 +155,26 @@ def test_quantiles_are_refined_until_few_values_are_left(spark, monkeypatch):
             for s in shares:
                 assert got[c, s] == pytest.approx(float(np.quantile(kept, s)), rel=1e-12, abs=1e-12)
     assert len(brought) < 40  # passes over the rows
+
+
+def test_correlation_of_rows_with_nulls(spark):
+    """Each pair uses the rows that have both values, as the independent engine does."""
+    import duckdb
+
+    rng = np.random.default_rng(2)
+    names = ["a", "b", "c", "same", "none"]
+    rows = []
+    for i in range(300):
+        a = float(rng.normal(1e6, 3))
+        values = [a, a * 2 + float(rng.normal()), float(rng.normal()), 4.0]
+        rows.append((*[None if (i * 7 + k) % 5 == 0 else v for k, v in enumerate(values)], None))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names))
+    got = {(r[0], r[1]): r[2] for r in profile.correlation_matrix(df.repartition(6), names).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (a DOUBLE, b DOUBLE, c DOUBLE, same DOUBLE, none DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?, ?, ?)", rows)
+    for x in ["a", "b", "c"]:
+        for y in ["a", "b", "c"]:
+            assert got[x, y] == pytest.approx(con.execute(f"SELECT corr({x}, {y}) FROM t").fetchone()[0], abs=1e-9)
+        assert got[x, "same"] is None and got["none", x] is None
+    assert got["same", "same"] == 1.0 and got["none", "none"] is None

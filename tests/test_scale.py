@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
@@ -74,3 +75,16 @@ def test_result_does_not_depend_on_partitions(spark):
     few, many = (cleaning.clean_data(view.repartition(n)) for n in (1, 13))
     assert few.exceptAll(many).count() == 0 and few.count() == many.count()
     assert few.agg(F.countDistinct("order_id")).first()[0] == 300
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from orderlens.session import shared_folder
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    conf = SimpleNamespace(get=lambda key, *default: default[0] if default else "/somewhere")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(SimpleNamespace(sparkContext=context, conf=conf))
+    context.master = "local[4]"
+    assert shared_folder(SimpleNamespace(sparkContext=context, conf=conf)) == "/somewhere/_scratch"

@@ -93,6 +93,16 @@ def test_a_small_append_reads_few_key_files(spark, tmp_path, monkeypatch):
     assert store.append(customers(spark, 4000, 2), "customers") == 2
 
 
+def test_unchecked_rows_count_for_later_checks(spark, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path / "out"))
+    twice = customers(spark, 0, 3).union(customers(spark, 0, 3))
+    assert store.append(twice, "customers", enforce=False) == 6
+    assert store.append(customers(spark, 3, 2), "customers") == 2
+    for first in (2, 4):
+        with pytest.raises(tables.ConstraintViolation, match="x1"):
+            store.append(customers(spark, first, 1), "customers")
+
+
 def test_references_use_the_index(spark, tmp_path):
     store = tables.TableStore(spark, str(tmp_path / "out"))
     store.append(customers(spark, 0, 50), "customers")
