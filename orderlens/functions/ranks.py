@@ -14,6 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH, BUCKET = "_hash", "_bucket"
+ROWS_OF_A_BUCKET = 100_000  # about, as hashes of distinct ids are even
+LEAST_DIGITS = 3
+
+
+def digits_for(n: int) -> int:
+    """Hex digits that leave a bucket at most about ``ROWS_OF_A_BUCKET`` of ``n`` rows."""
+    digits = LEAST_DIGITS
+    while n > ROWS_OF_A_BUCKET * 16**digits:
+        digits += 1
+    return digits
 
 
 def seeded_hash(id_column: str, seed: int) -> Column:
@@ -40,20 +50,23 @@ def _bucket_offsets(hashed: DataFrame, strata: list[str]) -> DataFrame:
 
 
 def exact_rank(
-    df: DataFrame, id_column: str, seed: int, strata: list[str] = (), rank_name: str = "rank", digits: int = 3
+    df: DataFrame, id_column: str, seed: int, strata: list[str] = (), rank_name: str = "rank", digits: int | None = None
 ) -> DataFrame:
     """Add the 1-based rank of each row in its stratum, by (md5(seed|id), id).
 
-    ``strata`` must have few values (a label); ids must be unique.
+    ``strata`` must have few values (a label); ids must be unique.  The number of buckets follows the
+    rows, which are counted, so the rows that meet in one task do not grow with them.
     """
+    digits = digits or digits_for(df.count())
     keys = list(strata) or ["_all"]
     hashed = _hashed(df if strata else df.withColumn("_all", F.lit(0)), id_column, seed, digits)
     offsets = _bucket_offsets(hashed, keys).select(*keys, BUCKET, "_before")
     in_bucket = Window.partitionBy(*keys, BUCKET).orderBy(HASH, id_column)
-    # Broadcast bound: 16**digits rows per stratum, whatever the input size.
+    # Broadcast bound: 16**3 rows per stratum.  More buckets are joined where the window has put their rows.
+    offsets = F.broadcast(offsets) if digits <= LEAST_DIGITS else offsets
     return (
         hashed.withColumn("_row", F.row_number().over(in_bucket))
-        .join(F.broadcast(offsets), [*keys, BUCKET])
+        .join(offsets, [*keys, BUCKET])
         .withColumn(rank_name, F.col("_before") + F.col("_row"))
         .select(*df.columns, rank_name)
     )
@@ -66,15 +79,16 @@ def take_share(
     seed: int,
     strata: list[str] = (),
     flag_name: str = "taken",
-    digits: int = 3,
+    digits: int | None = None,
     whole: Callable[[Column], Column] = F.floor,
 ) -> DataFrame:
     """Flag the first ``whole(share * n)`` rows of every stratum in hash order.
 
     Only the one bucket of a stratum that holds the cut is ranked; for all other rows
     the flag is a comparison with the cut, so the input itself is never shuffled.
-    Ids must be unique.
+    Ids must be unique.  The number of buckets follows the rows, as in ``exact_rank``.
     """
+    digits = digits or digits_for(df.count())
     keys = list(strata) or ["_all"]
     hashed = _hashed(df if strata else df.withColumn("_all", F.lit(0)), id_column, seed, digits)
     wanted = whole(F.col("_total") * F.lit(Decimal(str(share))))

@@ -451,7 +451,7 @@ def oracle_sql() -> dict[str, str]:
     out["view_scan"] = sql("SELECT count(*) AS n_rows FROM fview")
     out["limit_rows"] = sql("SELECT least(1000, count(*)) AS n_rows FROM fview")
     out["create_feature_view"] = out["feature_view"] = sql(f"SELECT {', '.join(VIEW)} FROM fview")
-    out["save_load_artifacts"] = _transformed("WHERE split = 'test'", "")
+    out["save_load_artifacts"] = _transformed("WHERE split = 'test'", ", TRUE AS same_score")
     out["order_transformer"] = _transformed("", ", split")
     out["constraint_audit"] = _audit()
 

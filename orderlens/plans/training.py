@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators import cleaning, evaluate, models, sampling, scoring, selection, transform
-from orderlens.session import materialize
 from orderlens.schemas import Relations
+from orderlens.session import delete_path, materialize
+from orderlens.sources.versions import Versions
 
 
 @dataclass
@@ -22,10 +24,32 @@ class TrainedRisk:
     test: DataFrame
     reports: dict[str, DataFrame]
 
-    def save(self, folder: str) -> None:
-        self.transformer.write().overwrite().save(f"{folder}/transformer")
-        for name, model in self.models.items():
-            model.save(f"{folder}/{name}")
+    def save(self, folder: str, threshold: float = 0.5) -> None:
+        save_bundle(folder, self.transformer, self.models, threshold)
+
+
+def save_bundle(
+    folder: str, transformer: transform.OrderTransformerModel, found: dict[str, models.RiskModel], threshold: float = 0.5
+) -> None:
+    """Write transformer, models, features and threshold as one version, which loading sees all of or none.
+
+    The parts lie in a folder of their own; publishing its name is one rename.  A save that breaks
+    off leaves the version before.
+    """
+    scoring.check_threshold(threshold)
+    spark, folder = SparkSession.active(), folder.rstrip("/")
+    versions = Versions(spark, folder)
+    number, _ = versions.current()
+    part = f"parts-{uuid.uuid4().hex}"
+    try:
+        transformer.write().overwrite().save(f"{folder}/{part}/transformer")
+        for name, model in found.items():
+            model.save(f"{folder}/{part}/{name}")
+        features = {name: model.features_ for name, model in found.items()}
+        versions.publish(number + 1, {"parts": part, "features": features, "threshold": threshold})
+    except BaseException:
+        delete_path(spark, f"{folder}/{part}")
+        raise
 
 
 @dataclass
@@ -34,12 +58,24 @@ class ScoringAssets:
 
     transformer: transform.OrderTransformerModel
     models: dict[str, models.RiskModel]
+    threshold: float = 0.5
 
     @classmethod
-    def load(cls, folder: str, names: tuple[str, ...] = ("gbt", "rf")) -> "ScoringAssets":
+    def load(cls, folder: str, names: tuple[str, ...] | None = None) -> "ScoringAssets":
+        """The bundle published last, with the models of these types or all it has."""
+        folder = folder.rstrip("/")
+        _, state = Versions(SparkSession.active(), folder).current()
+        if not state:
+            raise ValueError(f"could not find the saved artifact {folder}")
+        wanted = list(state["features"]) if names is None else [models.model_choice(n) for n in names]
+        absent = [n for n in wanted if n not in state["features"]]
+        if absent:
+            raise ValueError(f"could not find the saved artifact {folder}: it has no models {absent}")
+        path = f"{folder}/{state['parts']}"
         return cls(
-            transform.OrderTransformerModel.load(f"{folder}/transformer"),
-            {t: models.RiskModel.load(f"{folder}/{t}") for t in map(models.model_choice, names)},
+            transform.OrderTransformerModel.load(f"{path}/transformer"),
+            {t: models.RiskModel.load(f"{path}/{t}") for t in wanted},
+            state["threshold"],
         )
 
     def score(self, df: DataFrame, model_type: str = "gbt", clip: bool = False) -> DataFrame:

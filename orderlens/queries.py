@@ -210,12 +210,24 @@ def _(spark, folder):
 
 @query("save_load_artifacts")
 def _(spark, folder):
-    """Transformer saved and loaded; the loaded one transforms the test rows."""
+    """Transformer and model saved and loaded as one bundle; the loaded pair transforms and scores the test rows.
+
+    ``same_score`` tells whether a row's probability is that of the pair that was saved.
+    """
     split = _split(spark, folder)
-    path = scratch_path(spark, "transformer")
-    transform.OrderTransformer().fit(split.where("split = 'train'")).write().overwrite().save(path)
-    loaded = transform.OrderTransformerModel.load(path)
-    return _transformed_output(loaded.transform(split.where("split = 'test'").drop("split")))
+    train, test = (split.where(F.col("split") == part).drop("split") for part in ("train", "test"))
+    fitted = transform.OrderTransformer().fit(train)
+    rows = fitted.transform(train)
+    model = models.RiskModel("xgb")
+    model.features_, model.best_params_ = scoring.SCORING_COLUMNS, BOOSTED
+    model.best_model_ = models.train(rows, "xgb", model.features_, BOOSTED)
+    path = scratch_path(spark, "bundle")
+    training.save_bundle(path, fitted, {"gbt": model})
+    loaded = training.ScoringAssets.load(path)
+    before = model.predict_proba(fitted.transform(test)).select("order_id", F.col("probability").alias("before"))
+    scored = loaded.models["gbt"].predict_proba(loaded.transformer.transform(test)).join(before, "order_id")
+    scored = scored.withColumn("same_score", F.col("probability") == F.col("before"))
+    return _transformed_output(scored.drop("probability", "before"))
 
 
 @query("constraint_audit")

@@ -49,6 +49,20 @@ def test_folds_are_even(spark, rows):
         assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
 
 
+def test_ranks_do_not_depend_on_the_number_of_buckets(spark, rows, monkeypatch):
+    """Five digits when a bucket may hold next to nothing; no task then meets more than a few rows."""
+    from orderlens.functions import ranks
+
+    folds, split = sampling.stratified_folds(rows), sampling.stratified_split(rows)
+    assert ranks.digits_for(400) == 3 and ranks.digits_for(10**12) == 6
+    monkeypatch.setattr(ranks, "ROWS_OF_A_BUCKET", 0.001)
+    assert ranks.digits_for(400) == 5
+    assert folds.exceptAll(sampling.stratified_folds(rows)).count() == 0
+    assert split.exceptAll(sampling.stratified_split(rows)).count() == 0
+    hashed = ranks._hashed(rows, "order_id", 1, 5)
+    assert hashed.groupBy(ranks.BUCKET).count().agg(F.max("count")).first()[0] <= 3
+
+
 def test_folds_do_not_depend_on_partitions(spark, rows):
     a, b = sampling.stratified_folds(rows), sampling.stratified_folds(rows.repartition(11))
     assert a.exceptAll(b).count() == 0 and a.count() == 400
