@@ -1,11 +1,14 @@
 """Near duplicates by Jaccard similarity of word shingles, through a token-group matrix.
 
 Texts of equal shingle sets are one class.  A shingle (token) of a class takes part if it is among
-the rarest of the set, as many as any similar set must share ``SHARED`` of.  Similar classes are put
-into groups: first each with the class that leads most of its tokens, then by the links found.
-The matrix holds each group's union of tokens; a class opens a group only if its tokens in the
-union reach the bound, and only members that reach it themselves are compared exactly.  Classes
-of one group are never compared again, so copies cost one comparison each.
+the rarest of the set, as many as any similar set must share ``SHARED`` of.  The rarest of those
+are its front: as many as a similar set that is not smaller must share ``SHARED`` of.  Similar classes
+are put into groups: first each with the class that leads most of its tokens, then by the links found.
+The matrix holds each group's union of fronts; a class opens a group only if its tokens in the
+union reach the bound, and only members, not larger than it, whose fronts reach it themselves are
+compared exactly.  Classes of one group are never compared again, so copies cost one comparison each.
+Two sets that have a passage in common meet only where it fills eight ninths of the smaller one,
+save for ``SHARED`` tokens, so passages that many texts hold bring few classes together.
 """
 
 from __future__ import annotations
@@ -112,8 +115,25 @@ def needed(n: Column) -> Column:
     return F.least(F.lit(SHARED), F.ceil(n * PERCENT / 100))
 
 
+def needed_of_pair(n: Column, m: Column) -> Column:
+    """Tokens that a class of n shingles shares with the front of a similar class of m <= n at least.
+
+    Similar sets share ``PERCENT / (100 + PERCENT)`` of n + m; at most those behind the taking part of the
+    one, or behind the front of the other, are not seen.
+    """
+    whole = F.ceil((n + m) * PERCENT / (100 + PERCENT))
+    unseen = F.greatest(F.ceil(n * PERCENT / 100) - SHARED, F.ceil(m * (2 * PERCENT) / (100 + PERCENT)) - SHARED, F.lit(0))
+    return whole - unseen
+
+
+def several_classes(rows: DataFrame, of: str = "class") -> DataFrame:
+    """The tokens that two classes (or groups) have, one of them in a front."""
+    found = rows.groupBy("token").agg(F.min(of).alias("low"), F.max(of).alias("high"), F.max("front").alias("front"))
+    return found.where("low <> high and front").select("token")
+
+
 def class_tokens(docs: DataFrame) -> DataFrame:
-    """Stored (token, class, n): tokens taking part that more than one class has."""
+    """Stored (token, class, n, front): tokens taking part that more than one class has."""
     counters = docs.sparkSession.sparkContext.broadcast(np.minimum(token_counters(docs), np.iinfo(np.int32).max).astype(np.int32))
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,20 +147,20 @@ def class_tokens(docs: DataFrame) -> DataFrame:
             rank = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             keep = rank < (sizes - (PERCENT * sizes + 99) // 100 + SHARED)[owner]  # owner is sorted either way
             at, own = order[keep], owner[keep]
-            cells = [hashes[at].view(np.int64), names[own], sizes[own].astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["token", "class", "n"])
+            front = rank[keep] < (sizes - (2 * PERCENT * sizes + 99 + PERCENT) // (100 + PERCENT) + SHARED)[own]
+            cells = [hashes[at].view(np.int64), names[own], sizes[own].astype(np.int32), front]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["token", "class", "n", "front"])
 
-    rows = materialize(docs.select("d", "text").mapInArrow(rarest, "token long, class long, n int"), "rarest")
-    shared = rows.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    shared = materialize(shared.select("token"), "tokens")
+    rows = docs.select("d", "text").mapInArrow(rarest, "token long, class long, n int, front boolean")
+    rows = materialize(rows, "rarest")
+    shared = materialize(several_classes(rows), "tokens")
     found = materialize(rows.join(shared, "token").distinct(), "class-tokens")
     # a class with too few such tokens has no similar class, and leaves others with fewer
     for _ in range(2):
         enough = found.groupBy("class", "n").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= needed(F.col("n")))
         found = found.join(materialize(enough.select("class"), "classes"), "class", "left_semi")
-        several = found.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-        found = found.join(materialize(several.select("token"), "tokens"), "token", "left_semi")
-        found = materialize(found.select("token", "class", "n"), "class-tokens")
+        found = found.join(materialize(several_classes(found), "tokens"), "token", "left_semi")
+        found = materialize(found.select("token", "class", "n", "front"), "class-tokens")
     return found
 
 
@@ -180,9 +200,9 @@ def class_links(tokens: DataFrame, sets: DataFrame) -> DataFrame:
     def grouped() -> DataFrame:
         """Tokens with the group of their class, where several groups have the token."""
         rows = tokens.join(labels.withColumnRenamed("node", "class"), "class", "left")
-        rows = rows.select("token", "class", "n", F.coalesce("label", "class").alias("group"))
-        spread = rows.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
-        return materialize(rows.join(materialize(spread.select("token"), "open-tokens"), "token"), "grouped")
+        rows = rows.select("token", "class", "n", "front", F.coalesce("label", "class").alias("group"))
+        spread = materialize(several_classes(rows, "group"), "open-tokens")
+        return materialize(rows.join(spread, "token"), "grouped")
 
     # each class with classes of other groups that stand for enough of its tokens: brings copies
     # together that the first choice of leaders has kept apart
@@ -198,20 +218,21 @@ def class_links(tokens: DataFrame, sets: DataFrame) -> DataFrame:
     found = materialize(found.union(links(star, sets)), "links")
     labels = materialize(components(found), "labels")
 
-    # the matrix: which groups has a class enough tokens in, and of which members
+    # the matrix: which groups has a class enough tokens in, and of which members that are not larger
     rows = grouped()
-    matrix = materialize(rows.groupBy("token", "group").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n")), "matrix")
+    fronts = rows.where("front").select("token", "group", F.col("class").alias("member"), F.col("n").alias("member_n"))
+    matrix = fronts.groupBy("token", "group").agg(F.min("member_n").alias("low_n"), F.max("member_n").alias("high_n"))
+    matrix = materialize(matrix, "matrix")
+    fits = (F.col("low_n") <= F.col("n")) & (100 * F.col("high_n") >= PERCENT * F.col("n"))
     over = rows.select("token", "class", "n", F.col("group").alias("own")).join(matrix, "token").where("own <> group")
-    over = over.groupBy("class", "n", "group").agg(
-        F.count(F.lit(1)).alias("shared"), F.min("low_n").alias("low_n"), F.max("high_n").alias("high_n")
-    )
-    fits = (100 * F.col("high_n") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("low_n"))
-    opened = materialize(over.where((F.col("shared") >= needed(F.col("n"))) & fits).select("class", "group"), "opened")
-    member = rows.select("token", F.col("class").alias("member"), F.col("n").alias("member_n"), "group")
+    over = over.where(fits).groupBy("class", "n", "group").agg(F.count(F.lit(1)).alias("shared"))
+    opened = materialize(over.where(F.col("shared") >= needed(F.col("n"))).select("class", "group"), "opened")
     asked = rows.select("token", "class", "n").join(opened, "class")
-    met = asked.join(member, ["token", "group"]).where(sizes_fit(F.col("n"), F.col("member_n")))
-    rest = met.groupBy("class", "n", "member").agg(F.count(F.lit(1)).alias("shared"))
-    rest = rest.where(F.col("shared") >= needed(F.col("n"))).select(*ordered(F.col("class"), F.col("member"))).distinct()
+    met = asked.join(fronts, ["token", "group"])
+    met = met.where((F.col("member_n") <= F.col("n")) & sizes_fit(F.col("n"), F.col("member_n")))
+    rest = met.groupBy("class", "n", "member", "member_n").agg(F.count(F.lit(1)).alias("shared"))
+    rest = rest.where(F.col("shared") >= needed_of_pair(F.col("n"), F.col("member_n")))
+    rest = rest.select(*ordered(F.col("class"), F.col("member"))).distinct()
     rest = materialize(rest.join(tested, ["a", "b"], "left_anti"), "pairs")
     return materialize(components(found.union(links(rest, sets))), "labels")
 
