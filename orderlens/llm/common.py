@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.session import configure
+from orderlens.session import configure, delete_path
 
 # Bytes of one Arrow batch handed to a Python worker; array code needs about forty times that.
 BATCH_BYTES = 2 << 20
@@ -37,6 +37,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def release(*tables: DataFrame) -> None:
+    """Drop stored tables that nothing reads any more."""
+    for stored in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in stored.inputFiles()}:
+            delete_path(stored.sparkSession, folder)
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """(doc_id long, text string) of every row; other columns, whatever their names, are left out."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

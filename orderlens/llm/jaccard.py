@@ -6,7 +6,8 @@ are its front: as many as a similar set that is not smaller must share ``SHARED`
 are put into groups: first each with the class that leads most of its tokens, then by the links found.
 The matrix holds each group's union of fronts; a class opens a group only if its tokens in the
 union reach the bound, and only members, not larger than it, whose fronts reach it themselves are
-compared exactly.  Classes of one group are never compared again, so copies cost one comparison each.
+compared exactly.  A group is split into blocks of a bounded number of tokens; the classes that open
+a block meet its members as sorted arrays, and a component that is known already is not opened again.
 Two sets that have a passage in common meet only where it fills eight ninths of the smaller one,
 save for ``SHARED`` tokens, so passages that many texts hold bring few classes together.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.anchors import keyed
-from orderlens.llm.common import byte_codes, lower, mix, pieces, slice_hashes, utf8, word_bounds
+from orderlens.llm.common import byte_codes, lower, mix, pieces, release, slice_hashes, utf8, word_bounds
 from orderlens.llm.graph import components
 from orderlens.session import materialize
 
@@ -33,6 +34,8 @@ SHARED = 3
 # are hashed sums over all texts, 4 MB whatever the input.
 COUNTERS = 1 << 20
 SEGMENT = 1 << 16
+# Tokens of the sets that are held in one row: members of a block, or classes that open it.
+BLOCK_TOKENS = 1 << 17
 # Bytes of text that are hashed at a time, few enough for the arrays to stay in a core's cache.
 PIECE = 1 << 19
 
@@ -115,17 +118,6 @@ def needed(n: Column) -> Column:
     return F.least(F.lit(SHARED), F.ceil(n * PERCENT / 100))
 
 
-def needed_of_pair(n: Column, m: Column) -> Column:
-    """Tokens that a class of n shingles shares with the front of a similar class of m <= n at least.
-
-    Similar sets share ``PERCENT / (100 + PERCENT)`` of n + m; at most those behind the taking part of the
-    one, or behind the front of the other, are not seen.
-    """
-    whole = F.ceil((n + m) * PERCENT / (100 + PERCENT))
-    unseen = F.greatest(F.ceil(n * PERCENT / 100) - SHARED, F.ceil(m * (2 * PERCENT) / (100 + PERCENT)) - SHARED, F.lit(0))
-    return whole - unseen
-
-
 def several_classes(rows: DataFrame, of: str = "class") -> DataFrame:
     """The tokens that two classes (or groups) have, one of them in a front."""
     found = rows.groupBy("token").agg(F.min(of).alias("low"), F.max(of).alias("high"), F.max("front").alias("front"))
@@ -155,12 +147,15 @@ def class_tokens(docs: DataFrame) -> DataFrame:
     rows = materialize(rows, "rarest")
     shared = materialize(several_classes(rows), "tokens")
     found = materialize(rows.join(shared, "token").distinct(), "class-tokens")
+    release(rows, shared)
     # a class with too few such tokens has no similar class, and leaves others with fewer
     for _ in range(2):
+        before = found
         enough = found.groupBy("class", "n").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= needed(F.col("n")))
         found = found.join(materialize(enough.select("class"), "classes"), "class", "left_semi")
         found = found.join(materialize(several_classes(found), "tokens"), "token", "left_semi")
         found = materialize(found.select("token", "class", "n", "front"), "class-tokens")
+        release(before)
     return found
 
 
@@ -182,12 +177,56 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(compare, "a long, b long")
 
 
+def parts_of(rows: DataFrame, key: str) -> DataFrame:
+    """The rows with a part of their key, each part holding about ``BLOCK_TOKENS`` tokens."""
+    parts = rows.groupBy(key).agg(F.ceil(F.sum("n") / BLOCK_TOKENS).alias("parts"))
+    return rows.join(parts, key).withColumn("part", F.pmod(F.xxhash64("class"), "parts")).drop("parts")
+
+
+def block_links(opened: DataFrame, blocks: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) of the classes that open a block with its members, one for each component of members.
+
+    ``opened`` is (class, n, own, block), ``blocks`` is (class, own, block); own names the component.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [np.zeros((2, 0), dtype=np.int64)]
+            for asked, members in zip(batch.column(0), batch.column(1)):
+                asked, members = asked.values, members.values
+                names, owns = (members.field(i).to_numpy() for i in (0, 1))
+                data, offsets = utf8(members.field(2))
+                sizes = np.diff(offsets) // 8
+                tokens = np.frombuffer(data.tobytes(), dtype=np.uint64)
+                order = np.argsort(tokens, kind="stable")
+                tokens, owner = tokens[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+                for name, own, held in zip(*(asked.field(i).to_pylist() for i in range(3))):
+                    x = np.frombuffer(held, dtype=np.uint64)
+                    low, high = np.searchsorted(tokens, x, "left"), np.searchsorted(tokens, x, "right")
+                    n = high - low
+                    at = np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)
+                    both = np.bincount(owner[at], minlength=len(sizes))
+                    similar = np.flatnonzero((100 * both >= PERCENT * (len(x) + sizes - both)) & (owns != own))
+                    first = similar[np.unique(owns[similar], return_index=True)[1]]
+                    out.append(np.array([np.full(len(first), name), names[first]], dtype=np.int64))
+            a, b = np.concatenate(out, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def packed(rows: DataFrame, name: str, *key: str) -> DataFrame:
+        held = rows.join(sets.select("class", "tokens"), "class")
+        return held.groupBy(*key).agg(F.collect_list(F.struct("class", "own", "tokens")).alias(name))
+
+    asked = packed(parts_of(opened, "block"), "asked", "block", "part")
+    members = packed(blocks.join(opened.select("block").distinct(), "block", "left_semi"), "members", "block")
+    return asked.join(members, "block").select("asked", "members").mapInArrow(meet, "a long, b long")
+
+
 def ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
 def class_links(tokens: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, label) of the classes that are similar to another."""
+    """(node, label) of the classes that are similar to another; drops both stored tables."""
     # each class with the class that is the least of most of its tokens
     least = materialize(tokens.groupBy("token").agg(F.min("class").alias("least")), "least")
     shares = tokens.join(least, "token").where("class <> least").groupBy("class", "n", "least")
@@ -200,7 +239,7 @@ def class_links(tokens: DataFrame, sets: DataFrame) -> DataFrame:
     def grouped() -> DataFrame:
         """Tokens with the group of their class, where several groups have the token."""
         rows = tokens.join(labels.withColumnRenamed("node", "class"), "class", "left")
-        rows = rows.select("token", "class", "n", "front", F.coalesce("label", "class").alias("group"))
+        rows = rows.select("token", "class", "n", "front", F.coalesce("label", "class").alias("group"), "label")
         spread = materialize(several_classes(rows, "group"), "open-tokens")
         return materialize(rows.join(spread, "token"), "grouped")
 
@@ -214,27 +253,35 @@ def class_links(tokens: DataFrame, sets: DataFrame) -> DataFrame:
     star = star.where(F.col("shared") >= needed(F.col("n"))).select(*ordered(F.col("class"), F.col("centre"))).distinct()
     star = star.join(tested, ["a", "b"], "left_anti")
     star = materialize(star, "pairs")
-    tested = tested.union(star)
+    release(rows)
     found = materialize(found.union(links(star, sets)), "links")
     labels = materialize(components(found), "labels")
 
-    # the matrix: which groups has a class enough tokens in, and of which members that are not larger
-    rows = grouped()
-    fronts = rows.where("front").select("token", "group", F.col("class").alias("member"), F.col("n").alias("member_n"))
-    matrix = fronts.groupBy("token", "group").agg(F.min("member_n").alias("low_n"), F.max("member_n").alias("high_n"))
+    # groups: components found so far, and the other classes by the class that leads most of their tokens
+    stored_rows = rows = grouped()
+    leads = rows.where("label is null").join(least, "token").groupBy("class", "least").agg(F.count(F.lit(1)).alias("shared"))
+    leads = leads.groupBy("class").agg(F.max_by("least", F.struct("shared", "least")).alias("lead"))
+    kinds = rows.select("class", "n", F.col("group").alias("own"), "label").distinct()
+    kinds = kinds.join(leads, "class", "left").withColumn("group", F.coalesce("label", "lead"))
+    blocks = parts_of(kinds, "group").select("class", "own", F.xxhash64("group", "part", F.col("label").isNull()).alias("block"))
+    blocks = materialize(blocks, "blocks")
+
+    # the matrix: which blocks has a class enough tokens in, and of which members that are not larger
+    rows = rows.select("token", "class", "n", "front").join(blocks, "class")
+    matrix = rows.where("front").groupBy("token", F.col("block").alias("to")).agg(
+        F.min("n").alias("low_n"), F.max("n").alias("high_n"), F.min("own").alias("low"), F.max("own").alias("high")
+    )
     matrix = materialize(matrix, "matrix")
+    other = (F.col("low") != F.col("own")) | (F.col("high") != F.col("own"))
     fits = (F.col("low_n") <= F.col("n")) & (100 * F.col("high_n") >= PERCENT * F.col("n"))
-    over = rows.select("token", "class", "n", F.col("group").alias("own")).join(matrix, "token").where("own <> group")
-    over = over.where(fits).groupBy("class", "n", "group").agg(F.count(F.lit(1)).alias("shared"))
-    opened = materialize(over.where(F.col("shared") >= needed(F.col("n"))).select("class", "group"), "opened")
-    asked = rows.select("token", "class", "n").join(opened, "class")
-    met = asked.join(fronts, ["token", "group"])
-    met = met.where((F.col("member_n") <= F.col("n")) & sizes_fit(F.col("n"), F.col("member_n")))
-    rest = met.groupBy("class", "n", "member", "member_n").agg(F.count(F.lit(1)).alias("shared"))
-    rest = rest.where(F.col("shared") >= needed_of_pair(F.col("n"), F.col("member_n")))
-    rest = rest.select(*ordered(F.col("class"), F.col("member"))).distinct()
-    rest = materialize(rest.join(tested, ["a", "b"], "left_anti"), "pairs")
-    return materialize(components(found.union(links(rest, sets))), "labels")
+    over = rows.select("token", "class", "n", "own").join(matrix, "token").where(other & fits)
+    over = over.groupBy("class", "n", "own", F.col("to").alias("block")).agg(F.count(F.lit(1)).alias("shared"))
+    opened = over.where(F.col("shared") >= needed(F.col("n"))).select("class", "n", "own", "block")
+    opened = materialize(opened, "opened")
+    release(tokens, stored_rows, matrix)
+    rest = materialize(block_links(opened, blocks, sets), "links")
+    release(sets)
+    return materialize(components(found.union(rest)), "labels")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
