@@ -183,8 +183,18 @@ def parts_of(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(parts, key).withColumn("part", F.pmod(F.xxhash64("class"), "parts")).drop("parts")
 
 
+def top(root: dict[int, int], node: int) -> int:
+    """What a node hangs on in the end; the way there is halved."""
+    while node in root:
+        above = root[node]
+        if above in root:
+            root[node] = root[above]
+        node = above
+    return node
+
+
 def block_links(opened: DataFrame, blocks: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) of the classes that open a block with its members, one for each component of members.
+    """Links (a, b) of the classes that open a block with its members, without those that join no more components.
 
     ``opened`` is (class, n, own, block), ``blocks`` is (class, own, block); own names the component.
     """
@@ -198,6 +208,7 @@ def block_links(opened: DataFrame, blocks: DataFrame, sets: DataFrame) -> DataFr
                 data, offsets = utf8(members.field(2))
                 sizes = np.diff(offsets) // 8
                 tokens = np.frombuffer(data.tobytes(), dtype=np.uint64)
+                root: dict[int, int] = {}  # components joined in this row
                 order = np.argsort(tokens, kind="stable")
                 tokens, owner = tokens[order], np.repeat(np.arange(len(sizes)), sizes)[order]
                 for name, own, held in zip(*(asked.field(i).to_pylist() for i in range(3))):
@@ -207,8 +218,13 @@ def block_links(opened: DataFrame, blocks: DataFrame, sets: DataFrame) -> DataFr
                     at = np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)
                     both = np.bincount(owner[at], minlength=len(sizes))
                     similar = np.flatnonzero((100 * both >= PERCENT * (len(x) + sizes - both)) & (owns != own))
-                    first = similar[np.unique(owns[similar], return_index=True)[1]]
-                    out.append(np.array([np.full(len(first), name), names[first]], dtype=np.int64))
+                    new = []
+                    for i in similar[np.unique(owns[similar], return_index=True)[1]]:
+                        a, b = top(root, own), top(root, int(owns[i]))
+                        if a != b:
+                            root[a] = b
+                            new.append(names[i])
+                    out.append(np.array([[name] * len(new), new], dtype=np.int64))
             a, b = np.concatenate(out, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
