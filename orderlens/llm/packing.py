@@ -21,6 +21,7 @@ from orderlens.llm.tokens import Cache, cut, encoder
 # Tokens of remainders packed together: bounds a task's memory, and the padding to one
 # sequence in so many tokens.
 BLOCK_TOKENS = 4 << 20
+WIDTH = 32  # rooms of sequences looked at together
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
 )
@@ -44,39 +45,44 @@ def assign(lengths: np.ndarray, capacity: int, quadratic: float) -> list[tuple[i
     room = [capacity] * n
     cost = [0.0] * n
     # Sequences by room, each a heap by cost: the lowest cost with room for x is the least top
-    # over rooms >= x.  Rooms are few (at most ``capacity``), so buckets of 64 keep this short.
-    step = 64
-    heaps: list[list[tuple[float, int]]] = [[] for _ in range(capacity // step + 1)]
-    for s in range(n):
-        heapq.heappush(heaps[capacity // step], (0.0, s))
+    # over rooms >= x.  ``tops`` holds the tops, ``least`` the least one of each ``WIDTH`` rooms.
+    nothing = (np.inf, -1, -1)
+    heaps: list[list[tuple[float, int, int]]] = [[] for _ in range(capacity + 1)]
+    heaps[capacity] = [(0.0, s, capacity) for s in range(n)]
+    tops = [nothing] * (capacity + 1)
+    least = [nothing] * (capacity // WIDTH + 1)
     out: list[tuple[int, int, int, int, int]] = []
 
+    def renew(r: int) -> None:
+        tops[r] = heaps[r][0] if heaps[r] else nothing
+        k = r // WIDTH
+        least[k] = min(tops[k * WIDTH : (k + 1) * WIDTH])
+
     def place(item: int, start: int, length: int, s: int) -> None:
+        heapq.heappop(heaps[room[s]])
+        renew(room[s])
         out.append((item, start, length, s, capacity - room[s]))
         room[s] -= length
         cost[s] += attention_cost(length, quadratic)
         if room[s]:
-            heapq.heappush(heaps[room[s] // step], (cost[s], s))
-
-    def top(k: int) -> tuple[float, int] | None:
-        return heaps[k][0] if heaps[k] else None
+            heapq.heappush(heaps[room[s]], (cost[s], s, room[s]))
+            renew(room[s])
 
+    if n:
+        renew(capacity)
     for item in np.lexsort((np.arange(len(lengths)), -lengths)).tolist():
         length = int(lengths[item])
-        best, where = None, -1
-        for k in range(length // step + 1, len(heaps)):  # surely enough room
-            if (t := top(k)) is not None and (best is None or t < best):
-                best, where = t, k
-        if best is not None:
-            heapq.heappop(heaps[where])
+        k = length // WIDTH
+        best = min(min(tops[length : (k + 1) * WIDTH]), min(least[k + 1 :], default=nothing))
+        if best is not nothing:
             place(item, 0, length, best[1])
             continue
         start = 0
         while start < length:  # cut over those with the most room
-            k = max(k for k in range(len(heaps)) if heaps[k])
-            s = heapq.heappop(heaps[k])[1]
-            size = min(room[s], length - start)
-            place(item, start, size, s)
+            k = max(k for k in range(len(least)) if least[k] is not nothing)
+            r = max(r for r in range(k * WIDTH, min((k + 1) * WIDTH, capacity + 1)) if heaps[r])
+            size = min(r, length - start)
+            place(item, start, size, tops[r][1])
             start += size
     return out
 

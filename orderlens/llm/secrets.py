@@ -9,6 +9,7 @@ only those are searched with the expression.  A rule without mandatory trigrams
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from re import _constants as op
 from re import _parser
@@ -49,6 +50,8 @@ RULES = BASE + MORE
 
 # Alternatives of literal text followed at once in a pattern; beyond that nothing is derived.
 MOST_ALTERNATIVES = 64
+PART = 256  # entries of an array that are gathered by appending
+BLOCK = 1024  # code points of a text that are cut at together
 
 
 def trigram_query(pattern: str) -> list[frozenset[str]]:
@@ -139,6 +142,32 @@ def java(pattern: str) -> str:
     return re.sub(r"^\(\?i\)(.*)$", r"(?i:\1)", pattern, flags=re.S)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(items: Column, kind: str, step: Callable[[Column, Column], Column]) -> Column:
+    """(at, out) after ``step`` over the items, from at 0 and an empty array ``out`` of ``kind``.
+
+    ``step`` gives (at, out) with at most one entry more.  Entries are gathered in parts of
+    ``PART`` items, so the work grows with the items and not with their square.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def over(whole: Column) -> Column:
+        def part(acc: Column, i: Column) -> Column:
+            start = F.struct(acc["at"].alias("at"), none.alias("out"))
+            inner = F.aggregate(F.slice(whole, i * PART + 1, F.lit(PART)), start, step)
+            return bound(inner, lambda x: F.struct(x["at"].alias("at"), F.concat(acc["outs"], F.array(x["out"])).alias("outs")))
+
+        numbers = F.sequence(F.lit(0), F.floor((F.greatest(F.size(whole), F.lit(1)) - 1) / PART).cast("int"))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("outs"))
+        return F.aggregate(numbers, start, part, lambda x: F.struct(x["at"].alias("at"), F.flatten(x["outs"]).alias("out")))
+
+    return bound(items, over)
+
+
 def rule_spans(text: Column, number: int, rule: Rule) -> Column:
     """Sorted array of (start, kind, end), in code points, of the rule's matches long enough.
 
@@ -150,16 +179,15 @@ def rule_spans(text: Column, number: int, rule: Rule) -> Column:
     whole, match, held = (
         F.transform(F.regexp_extract_all(text, cutter, F.lit(i)), F.length) for i in (0, 1, rule.group + 1)
     )
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
-    def merge(acc: Column, z: Column) -> Column:
+    def step(acc: Column, z: Column) -> Column:
         end = acc["at"] + z["whole"]
         span = F.struct((end - z["match"]).alias("start"), F.lit(number).alias("kind"), end.alias("end"))
         keep = z["held"] >= rule.least
         return F.struct(end.alias("at"), F.when(keep, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
     zipped = F.arrays_zip(whole.alias("whole"), match.alias("match"), held.alias("held"))
-    return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("out")), merge, lambda acc: acc["out"])
+    return running(zipped, "struct<start:int,kind:int,end:int>", step)["out"]
 
 
 def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -203,15 +231,28 @@ def named(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with every span, overlapping ones together, replaced by ``mark``."""
 
-    def merge(acc: Column, s: Column) -> Column:
-        apart = s["start"] >= acc["at"]
-        between = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        out = F.when(apart, F.concat(acc["out"], between)).otherwise(acc["out"])
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.struct(acc["at"].alias("start"), s["start"].alias("end"))
+        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(gap))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    tail = F.aggregate(spans, start, merge, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, tail).otherwise(text)
+    def kept(blocks: Column, gap: Column) -> Column:
+        """The text of a gap, from the blocks that it meets."""
+
+        def piece(k: Column) -> Column:
+            low = F.greatest(gap["start"] - k * BLOCK, F.lit(0))
+            return F.substring(blocks[k], low + 1, F.least(gap["end"] - k * BLOCK, F.lit(BLOCK)) - low)
+
+        numbers = F.sequence(F.floor(gap["start"] / BLOCK).cast("int"), F.floor((gap["end"] - 1) / BLOCK).cast("int"))
+        return F.when(gap["start"] < gap["end"], F.array_join(F.transform(numbers, piece), "")).otherwise("")
+
+    def joined(found: Column, blocks: Column) -> Column:
+        last = F.array(F.struct(found["at"].alias("start"), F.length(text).alias("end")))
+        return F.array_join(F.transform(F.concat(found["out"], last), lambda gap: kept(blocks, gap)), mark)
+
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    found = running(spans, "struct<start:int,end:int>", step)
+    return F.when(F.size(spans) > 0, bound(found, lambda x: bound(cut, lambda blocks: joined(x, blocks)))).otherwise(text)
 
 
 def mask(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:

@@ -19,13 +19,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import pieces, texts, utf8
+from orderlens.llm.common import pieces, release, texts, utf8
+from orderlens.session import materialize
 
 # Entries of the broadcast table, and the longest part (characters) that may enter it: 2 MB at most.
 TABLE_SIZE = 16_384
 LONGEST_ENTRY = 32
-# Parts a worker caches before it starts anew; a bound of memory, not of what is counted.
+# Parts a worker caches before it starts anew, and the longest (characters) that it keeps; bounds of
+# memory, not of what is counted.
 CACHE_SIZE = 400_000
+LONGEST_CACHED = 64
+# Characters of texts counted before the parts that are too long for the table are let go.
+HELD_CHARACTERS = 32 << 20
 
 # A space next to other white space; such texts are cut more carefully.
 _LOOSE = re.compile(r" (?:\s|(?<=\s ))")
@@ -74,13 +79,15 @@ class Encoder:
 
 
 class Cache(dict):
-    """What ``make`` gives for each part that follows a space; begins anew when it is full."""
+    """What ``make`` gives for each part that follows a space; begins anew when it is full, keeps no long part."""
 
     def __init__(self, make, size: int = CACHE_SIZE):
         self._make, self._size = make, size
 
     def __missing__(self, part: str):
         value = self._make(" " + part)
+        if len(part) > LONGEST_CACHED:
+            return value
         if len(self) >= self._size:
             self.clear()
         self[part] = value
@@ -102,18 +109,22 @@ def encoder(vocabulary: str, ranks: str | None = None, pattern: str | None = Non
 def frequent_parts(docs: DataFrame, size: int = TABLE_SIZE) -> list[str]:
     """The parts most frequent over all texts, at most ``size`` of at most 32 characters.
 
-    Every task counts all its texts and hands on its own ``size`` most frequent parts, so what
-    is shuffled and collected is bounded by tasks and by ``size``.  The list decides only what
-    is looked up first; counts of tokens don't depend on it.
+    Every task counts all its texts and hands on its own ``size`` most frequent parts; the best of
+    all are brought together on an executor, so the driver gets ``size`` parts at any number of
+    tasks.  The list decides only what is looked up first; counts of tokens don't depend on it.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        held = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text:
-                    parts = text.split(" ")
-                    seen.update(parts[1:])
+                    seen.update(text.split(" ")[1:])
+                    held += len(text)
+                    if held > HELD_CHARACTERS:
+                        seen = Counter({p: n for p, n in seen.items() if len(p) <= LONGEST_ENTRY})
+                        held = 0
             if len(seen) > 16 * size:
                 seen = Counter(dict(seen.most_common(4 * size)))
         top = [(p, n) for p, n in seen.most_common(size) if len(p) <= LONGEST_ENTRY]
@@ -130,7 +141,10 @@ def frequent_parts(docs: DataFrame, size: int = TABLE_SIZE) -> list[str]:
         .orderBy(F.desc("n"), "part")
         .limit(size)
     )
-    return [r["part"] for r in top.collect()]  # at most ``size`` short strings
+    stored = materialize(top, "frequent-parts")
+    parts = [r["part"] for r in stored.orderBy(F.desc("n"), "part").collect()]  # at most ``size`` short strings
+    release(stored)
+    return parts
 
 
 def token_counts(
