@@ -160,4 +160,10 @@ QUERIES: dict[str, Query] = {
         op13_quality,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op11_manifest": sql.manifest()}
+ORACLE_SQL: dict[str, str] = {
+    "op2_top_k": sql.top_k(),
+    "op5_substring_dedup": sql.word_repeats(),
+    "op7_jaccard": sql.near_duplicates(),
+    "op9_suffix_dedup": sql.byte_repeats(),
+    "op11_manifest": sql.manifest(),
+}

@@ -78,3 +78,89 @@ b0 AS (
     return f"""WITH {",".join(parts)}
 SELECT doc_id, w.h AS leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = r.h AS verified
 FROM {have} w, b{group_levels} r"""
+
+
+def top_k(k: int = 5, every: int = 50, scale: int = 256) -> str:
+    """The greatest integer inner products of the vectors whose id is divisible by ``every``."""
+    return f"""WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % {every} = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {k}"""
+
+
+WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+
+
+def word_repeats(length: int = 35) -> str:
+    """Words left when windows of ``length`` words that start elsewhere too are removed."""
+    return f"""WITH rows AS (
+  SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+windows AS (
+  SELECT r, i, sha256(array_to_string(w[i:i + {length - 1}], ' ')) AS h
+  FROM (SELECT r, w, unnest(range(1, len(w) - {length - 2})) AS i FROM rows)),
+again AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT r, i + unnest(range({length})) AS i FROM windows WHERE h IN (SELECT h FROM again)),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM rows),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (r, i) GROUP BY r),
+removed AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM rows LEFT JOIN kept USING (r) LEFT JOIN removed USING (r)"""
+
+
+def near_duplicates(words: int = 5, percent: int = 80) -> str:
+    """The component of every document under links of similar sets of word shingles."""
+    lowered = WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    return f"""WITH RECURSIVE rows AS (SELECT doc_id, {lowered} AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {words - 1}], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {words - 2}, 2))) AS i FROM rows WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= {percent} * (x.n + y.n - shared.n)),
+pairs AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS c FROM documents UNION SELECT pairs.a, reached.c FROM reached JOIN pairs ON pairs.b = reached.doc_id)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(c) AS component_id
+FROM documents d JOIN reached ON reached.doc_id = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+def byte_repeats(length: int = 50) -> str:
+    """Bytes left when strings of ``length`` bytes that start in an earlier document are removed; bytes as two hex digits."""
+    size = 2 * length
+    return f"""WITH rows AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+blocks AS (
+  SELECT r, doc_id, base, substr(x, 2 * base + 1, 2 * 500 + {size - 2}) AS x
+  FROM (SELECT r, doc_id, x, unnest(range(0, strlen(x) // 2, 500)) AS base FROM rows)),
+windows AS (
+  SELECT r, doc_id, base + i AS i, md5_number(substr(x, 2 * i + 1, {size})) AS h
+  FROM (SELECT r, doc_id, base, x, unnest(range(strlen(x) // 2 - {length - 1})) AS i FROM blocks)),
+least AS (SELECT h, min(doc_id) AS low FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT r, i + unnest(range({length})) AS i FROM windows JOIN least USING (h) WHERE low < doc_id),
+ends AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS p FROM gone),
+starts AS (SELECT r, i, row_number() OVER (PARTITION BY r ORDER BY i) AS k FROM ends WHERE p IS NULL OR p < i - 1),
+stops AS (SELECT r, i + 1 AS e, row_number() OVER (PARTITION BY r ORDER BY i) AS k
+  FROM gone WHERE NOT EXISTS (FROM ends WHERE ends.r = gone.r AND ends.p = gone.i AND ends.i = gone.i + 1)),
+spans AS (SELECT r, k, i AS s, e FROM starts JOIN stops USING (r, k)),
+gaps AS (
+  SELECT r, coalesce(lag(e) OVER (PARTITION BY r ORDER BY k), 0) AS a, s AS b FROM spans
+  UNION ALL SELECT r, max(e), NULL FROM spans GROUP BY r),
+kept AS (
+  SELECT r, string_agg(substr(x, 2 * a + 1, coalesce(2 * (b - a), strlen(x))), '' ORDER BY a) AS t
+  FROM gaps JOIN rows USING (r) GROUP BY r),
+counted AS (SELECT r, count(*) AS m, sum(e - s) AS n FROM spans GROUP BY r)
+SELECT doc_id, strlen(x)::BIGINT // 2 AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(m, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(t, x))) AS kept_sha256
+FROM rows LEFT JOIN kept USING (r) LEFT JOIN counted USING (r)"""
