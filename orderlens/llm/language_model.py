@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import mix, pieces, slice_hashes, texts
+from orderlens.llm.common import many_slice_hashes, mix, pieces, slice_hashes, texts
 from orderlens.session import materialize
 
 ORDER = 4
@@ -22,21 +22,28 @@ SMOOTHING = 4.0  # weight of the lower order's probability, in tokens
 PARTS = ["gram", "context", "pair", "before", "last"]
 
 
-def gram_hashes(column: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
-    """Hashes of the parts of the gram that ends at each character, and the number of characters of each text.
-
-    A text begins with ORDER - 1 start marks.  The parts are the whole gram, its context, the
-    last two characters, the one before the last, and the last.
-    """
+def characters(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, place after each character, number of characters of each text); a text begins with ORDER - 1 marks."""
     strings = [t or "" for t in column.to_pylist()]
     n = np.array([len(t) for t in strings], dtype=np.int64)
     mark = "\0" * (ORDER - 1)
     codes = np.frombuffer("".join(mark + t for t in strings).encode("utf-32-le", "surrogatepass"), dtype="<u4")
     codes = mix(codes.astype(np.uint64) + np.uint64(1))
     ends = np.arange(len(codes)) + 1
-    ends = ends[np.arange(len(codes)) >= np.repeat(np.cumsum(n + ORDER - 1) - n, n + ORDER - 1)]
+    return codes, ends[np.arange(len(codes)) >= np.repeat(np.cumsum(n + ORDER - 1) - n, n + ORDER - 1)], n
+
+
+def part_hashes(codes: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the PARTS of the grams that end at ``ends``: the whole gram, its context, the last two
+    characters, the one before the last, and the last."""
     spans = [(ORDER, 0), (ORDER, 1), (2, 0), (2, 1), (1, 0)]
-    return [slice_hashes(codes, ends - a, ends - b).view(np.int64) for a, b in spans], n
+    return [h.view(np.int64) for h in many_slice_hashes(codes, [(ends - a, ends - b) for a, b in spans])]
+
+
+def kinds_of(codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different grams, which of them ends at each of ``ends``), by hashing: a block has few grams for its length."""
+    found = pa.array(slice_hashes(codes, ends - ORDER, ends).view(np.int64)).dictionary_encode()
+    return found.dictionary.to_numpy(), found.indices.to_numpy()
 
 
 def blocked(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -54,12 +61,15 @@ def block_grams(rows: DataFrame, targets: DataFrame) -> DataFrame:
         found: list[np.ndarray] = [np.zeros((0, 7), dtype=np.int64)]
         for batch in docs.select(["block", "text", "doc_id"]).to_batches():
             for piece in pieces(iter([batch])):
-                parts, n = gram_hashes(piece.column(1))
+                codes, ends, n = characters(piece.column(1))
                 mine = np.isin(np.array([-1 if d is None else d for d in piece.column(2).to_pylist()], dtype=np.int64), ids)
                 mine &= piece.column(2).is_valid().to_numpy(zero_copy_only=False)
-                _, first, inverse, counts = np.unique(parts[0], return_index=True, return_inverse=True, return_counts=True)
-                of_target = np.bincount(inverse, weights=np.repeat(mine, n), minlength=len(first)).astype(np.int64)
-                found.append(np.column_stack([p[first] for p in parts] + [counts, of_target]))
+                different, kind = kinds_of(codes, ends)
+                place = np.empty(len(different), dtype=np.int64)
+                place[kind] = ends  # equal grams have equal parts, wherever they lie
+                counts = np.bincount(kind, minlength=len(different))
+                of_target = np.bincount(kind, weights=np.repeat(mine, n), minlength=len(different)).astype(np.int64)
+                found.append(np.column_stack([*part_hashes(codes, place), counts, of_target]))
         grams = np.concatenate(found)
         order = np.argsort(grams[:, 0], kind="stable")
         grams = grams[order]
@@ -126,18 +136,19 @@ def entropy_difference(docs: DataFrame, targets: DataFrame, block: int = BLOCK,
     def score(docs: pa.Table, model: pa.Table) -> pa.Table:
         grams, target, background = (model.column(c).to_numpy() for c in ("gram", "target_loss", "background_loss"))
         order = np.argsort(grams)
-        grams, both = grams[order], np.column_stack([target[order], background[order]])
+        grams, both = grams[order], (target[order], background[order])
         out = []
         for batch in docs.select(["doc_id", "text"]).to_batches():
             for piece in pieces(iter([batch])):
-                parts, n = gram_hashes(piece.column(1))
-                total = np.zeros((len(parts[0]) + 1, 2))
-                if len(parts[0]):
-                    np.cumsum(both[np.searchsorted(grams, parts[0])], axis=0, out=total[1:])
-                ends = np.cumsum(n)
-                mean = (total[ends] - total[ends - n]) / np.maximum(n, 1)[:, None]
-                cells = [piece.column(0), pa.array(n), pa.array(mean[:, 0].copy()), pa.array(mean[:, 1].copy())]
-                cells.append(pa.array(mean[:, 1] - mean[:, 0]))
+                codes, ends, n = characters(piece.column(1))
+                different, kind = kinds_of(codes, ends)
+                place = np.searchsorted(grams, different)[kind]
+                ends, means = np.cumsum(n), []
+                for losses in both:
+                    total = np.zeros(len(place) + 1)
+                    np.cumsum(losses[place], out=total[1:])
+                    means.append((total[ends] - total[ends - n]) / np.maximum(n, 1))
+                cells = [piece.column(0), pa.array(n), *map(pa.array, means), pa.array(means[1] - means[0])]
                 out.append(pa.RecordBatch.from_arrays(cells, names))
         return pa.Table.from_batches(out, pa.schema(list(zip(names, kinds))))
 

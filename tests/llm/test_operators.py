@@ -112,6 +112,20 @@ def test_language_model_edges(spark, docs):
     assert got[7]["score"] > got[12]["score"]
 
 
+def test_language_model_takes_each_gram_of_a_batch_once():
+    strings = ["abcabcabc", "", "abcabc", None, "é\U0001f600"]
+    codes, ends, n = language_model.characters(pa.array(strings))
+    different, kind = language_model.kinds_of(codes, ends)
+    padded = [("\0" * 3 + (t or "")) for t in strings]
+    grams = [t[i : i + 4] for t in padded for i in range(len(t) - 3)]
+    assert n.tolist() == [9, 0, 6, 0, 2] and len(different) == len(set(grams)) < len(grams)
+    assert len({(g, k) for g, k in zip(grams, kind.tolist())}) == len(different)
+    gram, context, pair, before, last = language_model.part_hashes(codes, ends)
+    assert gram.tolist() == different[kind].tolist()
+    for part, cut in ((context, slice(0, 3)), (pair, slice(2, 4)), (before, slice(2, 3)), (last, slice(3, 4))):
+        assert len(set(zip(part.tolist(), [g[cut] for g in grams]))) == len({g[cut] for g in grams}) == len(set(part.tolist()))
+
+
 def test_top_k_ties_and_bad_vectors(spark):
     vectors = [(0, [1.0, 0.5]), (1, [0.5, 1.0]), (2, [0.5, 1.0]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (6, [-1.0, -1.0]), (7, [1.0])]
     df = topk.integers(spark.createDataFrame(vectors, "vec_id long, embedding array<float>"))
