@@ -156,6 +156,31 @@ def test_elimination_follows_separate_fits(spark, rows):
     assert got == want and "a" in selector.features_to_keep_
 
 
+def test_only_the_lighter_child_of_a_split_is_summed():
+    rng = np.random.default_rng(3)
+    n, width = 500, 8
+    bins = rng.integers(0, width, (2, n)).astype(np.uint8)
+    label, fold = rng.integers(0, 2, n).astype(np.uint8), (np.arange(n) % 3).astype(np.int16)
+    margin = rng.normal(size=(1, n)).astype(np.float32)
+    block = (bins, label, fold, np.arange(n), margin)
+    fit = boosting.Fit(boosting.Setting(depth=3, least_weight=0.0), (0, 1), 2.0, held_out=1)
+    tree, unit, above = boosting.Tree(3), 2.0**30, None
+    p = 1 / (1 + np.exp(-margin[0].astype(np.float64)))
+    gradient = np.rint((p - label) * np.where(label == 1, 2.0, 1.0) * unit)
+    for level in range(3):
+        found = boosting._sums(block, [fit], [tree], 0, level, width, unit)
+        n_summed = found.size // (2 * 2 * width)
+        assert n_summed == (1 if level == 0 else tree.open[2**level - 1 : 2 ** (level + 1) - 1].sum() // 2)
+        above = boosting._with_siblings(tree, found.reshape(2, 2, n_summed, width), above, level)
+        at = tree.walk(bins, level)
+        for node in np.flatnonzero(tree.open):
+            seen = (at == node) & (fold != 1)
+            for f in range(2):
+                want = np.bincount(bins[f, seen], weights=gradient[seen], minlength=width)
+                assert above[f, 0, node - (2**level - 1)].tolist() == want.tolist()
+        boosting._grow(fit, tree, above / unit, np.array([0, 1]), level)
+
+
 def test_save_and_load(spark, rows, tmp_path):
     model = models.train(rows, "xgb", FEATURES, {"maxIter": 3, "maxDepth": 3, "stepSize": 0.2})
     model.save(str(tmp_path / "m"))
