@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from orderlens.functions import expressions
 from pyspark.sql import functions as F
 
-from orderlens import schemas
+from orderlens import queries, schemas
 from orderlens.operators import audit, cleanup
 from orderlens.plans import etl
 from orderlens.plans import feature_view as fv
@@ -185,3 +185,12 @@ def test_an_append_leaves_other_models_usable(spark, tmp_path):
     for enforce in (True, False):
         assert store.append(names if enforce else names.limit(0), "category_names", enforce) == (2 if enforce else 0)
         assert Pipeline(stages=stages).fit(rows).transform(rows).select("probability").collect()
+
+
+def test_exported_inputs_are_compressed_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "ROWS_OF_A_FILE", 10)
+    rows = [(i, f"c{i}", "01", "a\"b, c", "X") for i in range(35)]
+    df = spark.createDataFrame(rows, schemas.TABLES["customers"].schema).coalesce(1)
+    queries._export_csv(df, str(tmp_path), "customers")
+    assert len(list(tmp_path.glob("*customers_dataset.csv/*.csv.gz"))) == 4
+    assert sorted(csv_files.scan_dataset(spark, str(tmp_path), "customers").collect()) == sorted(df.collect())
