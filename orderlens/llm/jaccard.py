@@ -22,7 +22,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.anchors import keyed
-from orderlens.llm.common import byte_codes, lower, mix, pieces, release, slice_hashes, utf8, word_bounds
+from orderlens.llm.common import (
+    byte_codes,
+    in_slices,
+    in_turn,
+    lower,
+    mix,
+    pieces,
+    release,
+    slice_hashes,
+    slice_number,
+    utf8,
+    word_bounds,
+)
 from orderlens.llm.graph import components
 from orderlens.session import materialize
 
@@ -36,6 +48,8 @@ COUNTERS = 1 << 20
 SEGMENT = 1 << 16
 # Tokens of the sets that are held in one row: members of a block, or classes that open it.
 BLOCK_TOKENS = 1 << 17
+# Turns in which texts, or blocks, are dealt out, so that a part of them lies on the disk at a time.
+TURNS = 4
 # Bytes of text that are hashed at a time, few enough for the arrays to stay in a core's cache.
 PIECE = 1 << 19
 
@@ -144,10 +158,14 @@ def class_tokens(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["token", "class", "n", "front"])
 
     rows = docs.select("d", "text").mapInArrow(rarest, "token long, class long, n int, front boolean")
-    rows = materialize(rows, "rarest")
-    shared = materialize(several_classes(rows), "tokens")
-    found = materialize(rows.join(shared, "token").distinct(), "class-tokens")
-    release(rows, shared)
+    stored = []
+
+    def shared(part: DataFrame) -> DataFrame:
+        stored.append(materialize(several_classes(part), "tokens"))
+        return part.join(stored[-1], "token").distinct()
+
+    found = in_slices(rows, "token", "class-tokens", shared)
+    release(*stored)
     # a class with too few such tokens has no similar class, and leaves others with fewer
     for _ in range(2):
         before = found
@@ -295,7 +313,8 @@ def class_links(tokens: DataFrame, sets: DataFrame) -> DataFrame:
     opened = over.where(F.col("shared") >= needed(F.col("n"))).select("class", "n", "own", "block")
     opened = materialize(opened, "opened")
     release(tokens, stored_rows, matrix)
-    rest = materialize(block_links(opened, blocks, sets), "links")
+    turns = (block_links(opened.where(slice_number("block", TURNS) == i), blocks, sets) for i in range(TURNS))
+    rest = in_turn(turns, "links")
     release(sets)
     return materialize(components(found.union(rest)), "labels")
 
@@ -334,8 +353,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     asked = tokens.select("class").distinct()
     one = described.join(asked, "class").groupBy("class").agg(F.min(F.struct("d", "key")).alias("row"))
     one = one.select("class", "row.d", "row.key")
-    held = rows.select("d", "key", "text").join(one, ["d", "key"]).select("class", "text").dropDuplicates(["class"])
-    sets = materialize(held.mapInArrow(sets_of, "class long, tokens binary"), "sets")
+    one = materialize(one, "representatives")
+
+    def sets_in(turn: int) -> DataFrame:
+        held = rows.select("d", "key", "text").where(slice_number("key", TURNS) == turn).join(one, ["d", "key"])
+        return held.select("class", "text").dropDuplicates(["class"]).mapInArrow(sets_of, "class long, tokens binary")
+
+    sets = in_turn(map(sets_in, range(TURNS)), "sets")
 
     labels = class_links(tokens, sets).withColumnRenamed("node", "class")
     full = described.where("n_shingles > 0").join(labels, "class", "left")
