@@ -48,7 +48,7 @@ COUNTERS = 1 << 20
 SEGMENT = 1 << 16
 # Tokens of the sets that are held in one row: members of a block, or classes that open it.
 BLOCK_TOKENS = 1 << 17
-# Turns in which texts, or blocks, are dealt out, so that a part of them lies on the disk at a time.
+# Turns in which texts are dealt out, so that a part of them lies on the disk at a time.
 TURNS = 4
 # Bytes of text that are hashed at a time, few enough for the arrays to stay in a core's cache.
 PIECE = 1 << 19
@@ -313,8 +313,7 @@ def class_links(tokens: DataFrame, sets: DataFrame) -> DataFrame:
     opened = over.where(F.col("shared") >= needed(F.col("n"))).select("class", "n", "own", "block")
     opened = materialize(opened, "opened")
     release(tokens, stored_rows, matrix)
-    turns = (block_links(opened.where(slice_number("block", TURNS) == i), blocks, sets) for i in range(TURNS))
-    rest = in_turn(turns, "links")
+    rest = materialize(block_links(opened, blocks, sets), "links")
     release(sets)
     return materialize(components(found.union(rest)), "labels")
 
