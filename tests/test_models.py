@@ -1,9 +1,11 @@
+import json
 import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from orderlens import queries
 from orderlens.functions.expressions import hundredths
 from orderlens.operators import evaluate, impact, models, sampling, scoring, selection, transform
 from orderlens.operators.transform import NotFittedError
@@ -293,3 +295,27 @@ def test_no_probability_is_no_decision_and_ties_go_to_the_even_tenth(spark):
         (None, None), ("43.2%", "Safe"), ("12.2%", "Safe"), ("6.2%", "Safe"), ("50.0%", "High Risk"),
     ]
     assert evaluate.threshold_sweep(df).where("threshold = 90").first()["fp"] == 0
+
+
+def whole_search(spark, monkeypatch, name):
+    """Trials of a registered search over made-up rows with fewer rounds."""
+    chance = random.Random(2)
+    columns = queries.scoring.SCORING_COLUMNS
+    rows = [(f"o{i}", int(chance.random() < 0.4), *(chance.random() for _ in columns)) for i in range(120)]
+    schema = "order_id string, bad_score int, " + ", ".join(f"{c} double" for c in columns)
+    train = spark.createDataFrame(rows, schema)
+    monkeypatch.setattr(queries, "_prepared", lambda spark, folder: (None, train, train))
+    monkeypatch.setitem(queries.SPACE, "gbt", queries.SPACE["gbt"] | {"maxIter": ("int", 1, 2), "maxDepth": ("int", 1, 2)})
+    return queries.QUERIES[name](spark, "").collect()
+
+
+def settings_of(trials):
+    """Drawn settings by trial, without the number of rounds."""
+    drawn = {r["trial"]: json.loads(r["params"]) for r in trials}
+    return [tuple(v for k, v in sorted(p.items()) if k != models.ROUNDS) for p in drawn.values()]
+
+
+def test_search_space_draws_every_trial_in_full(spark, monkeypatch):
+    trials = whole_search(spark, monkeypatch, "search_space")
+    assert len(trials) == 10 and all(0 <= r["mean_f1"] <= 1 for r in trials)
+    assert len(set(settings_of(trials))) == 10
