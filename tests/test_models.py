@@ -319,3 +319,12 @@ def test_search_space_draws_every_trial_in_full(spark, monkeypatch):
     trials = whole_search(spark, monkeypatch, "search_space")
     assert len(trials) == 10 and all(0 <= r["mean_f1"] <= 1 for r in trials)
     assert len(set(settings_of(trials))) == 10
+
+
+def test_tune_makes_fits_of_its_own_for_every_trial(spark, monkeypatch):
+    made = []
+    together = models.boosting.fit_together
+    monkeypatch.setattr(models.boosting, "fit_together", lambda rows, fits, s: made.extend(fits) or together(rows, fits, s))
+    trials = whole_search(spark, monkeypatch, "tune")
+    assert len({(r["trial"], r["fold"]) for r in trials}) == 100
+    assert len(set(settings_of(trials))) == 20 and len(made) == 100
