@@ -105,7 +105,7 @@ def fit(
     labels: DataFrame,
     most_rows: int = 20_000,
     kept_features: int = 2048,
-    l1: tuple[float, ...] = (2e-4, 1e-4, 5e-5, 2e-5, 1e-5),
+    l1: tuple[float, ...] | float = (2e-4, 1e-4, 5e-5, 2e-5, 1e-5),
     counterfactual: float = 1.0,
     steps: int = 400,
 ) -> tuple[float, np.ndarray]:
@@ -115,9 +115,10 @@ def fit(
     ``kept_features`` buckets with the clearest difference between the classes, and all buckets
     of identity terms, are fitted.  Of the weights ``l1`` of the L1 term that one is taken which,
     fitted without a fifth of these rows, has the least log loss on that fifth; equal texts lie
-    on one side.  Without any labelled row every score is 0.5; with one class only, the smoothed
+    on one side.  A single weight is taken as it is.  Without any labelled row every score is 0.5; with one class only, the smoothed
     share of it.
     """
+    l1 = (l1,) if isinstance(l1, (int, float)) else l1
     rows = labelled_rows(docs, labels, most_rows).toArrow()
     y = rows.column("toxic").to_numpy().astype(np.float64)
     lists = rows.column("features").combine_chunks() if len(y) else pa.array([], pa.list_(pa.int32()))
